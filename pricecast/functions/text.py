@@ -31,7 +31,7 @@ def percent_to_number(c: Column) -> Column:
 
 def to_date(c: Column, formats: tuple[str, ...]) -> Column:
     """First format of the ordered list that parses wins; no match is NULL."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("date") for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
 def parse_history(c: Column) -> Column:

@@ -20,6 +20,7 @@ def get_session(master: str = "local[*]", shuffle_partitions: int | None = None)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if shuffle_partitions:
