@@ -1,7 +1,264 @@
-from pricecast.operators.layout import SERIES
-from pricecast.operators.windows import lag_columns
+"""Regressors on lag matrices and feature tables.
+
+Tree models are fitted once for all series of a panel on values standardised within each series by moments
+of its training rows, so levels of different series are comparable; for one series this is the plain fit.
+"""
+
+from __future__ import annotations
+
+import math
+import random
+from multiprocessing.pool import ThreadPool
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-def lag_matrix(df, lags):
-    cols = {f"lag_{k}": F.lag("price", k).over(SERIES.window()) for k in lags}
-    df = df.select("series_id", "date", F.col("price").alias("y"), (F.row_number().over(SERIES.window()) - 1).alias("t"), *[c.alias(n) for n, c in cols.items()])
-    return df.dropna()
+
+from pricecast.config import SEARCH_SPACES
+from pricecast.functions.numeric import zscore, zscore_inverse
+from pricecast.operators.evaluate import metric_columns
+from pricecast.operators.gram import ridge_cv, ridge_fit, ridge_predict
+from pricecast.operators.layout import SERIES
+from pricecast.operators.splits import draw_params, walk_forward
+from pricecast.session import materialise
+
+
+def lag_matrix(df: DataFrame, lags, price: str = "price", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``y``, position ``t`` and one column per lag; rows without all lags are dropped."""
+    w = SERIES.window()
+    columns = [F.lag(price, k).over(w).alias(f"lag_{k}") for k in lags]
+    t = (F.row_number().over(w) - 1).alias("t")
+    matrix = df.select("series_id", "date", *keep, F.col(price).alias("y"), t, *columns)
+    return matrix.dropna(subset=[f"lag_{k}" for k in lags])
+
+
+def scale_by_series(df: DataFrame, columns: list[str], train: Column) -> DataFrame:
+    """Standardise columns within each series by training moments, in place; ``<c>__mean`` and ``<c>__std`` are kept for the first."""
+    whole = Window.partitionBy("series_id")
+    moments = {}
+    for c in columns:
+        x = F.when(train, F.col(c).cast("double"))
+        moments[f"{c}__mean"] = F.avg(x).over(whole)
+        moments[f"{c}__std"] = F.stddev_pop(x).over(whole)
+    df = df.withColumns(moments)
+    df = df.withColumns({c: zscore(F.col(c), F.col(f"{c}__mean"), F.col(f"{c}__std")) for c in columns})
+    spare = [f"{c}__{m}" for c in columns[1:] for m in ("mean", "std")]
+    return df.drop(*spare)
+
+
+def unscale(prediction: Column, target: str) -> Column:
+    return zscore_inverse(prediction, F.col(f"{target}__mean"), F.col(f"{target}__std"))
+
+
+def learner(family: str, params: dict | None = None, seed: int = 42, label: str = "y"):
+    """MLlib estimator of a family.
+
+    ``min_samples_split`` has no counterpart and is left aside. ``extra_trees`` is an approximation: forests
+    without bootstrap and with drawn feature subsets, but with searched thresholds.
+    """
+    p = dict(params or {})
+    subset = p.get("max_features", 1.0)
+    shared = {"featuresCol": "features", "labelCol": label, "seed": seed, "maxBins": 128, "maxMemoryInMB": 512}
+    if family in ("random_forest", "extra_trees"):
+        depth = p.get("max_depth")
+        return RandomForestRegressor(
+            **shared,
+            numTrees=p.get("n_estimators", 100),
+            maxDepth=30 if depth is None else depth,
+            minInstancesPerNode=p.get("min_samples_leaf", 1),
+            featureSubsetStrategy="all" if subset == 1.0 else str(subset),
+            bootstrap=family == "random_forest",
+        )
+    if family == "gradient_boosting":
+        return GBTRegressor(
+            **shared,
+            maxIter=p.get("n_estimators", 100),
+            stepSize=p.get("learning_rate", 0.1),
+            maxDepth=p.get("max_depth", 3),
+            subsamplingRate=p.get("subsample", 1.0),
+            minInstancesPerNode=p.get("min_samples_leaf", 1),
+        )
+    raise ValueError("Unsupported model_name. Use one of: ridge, random_forest, gradient_boosting, extra_trees")
+
+
+def fit_trees(train: DataFrame, features: list[str], family: str, params: dict | None = None, seed: int = 42, label: str = "y") -> PipelineModel:
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    return Pipeline(stages=[assembler, learner(family, params, seed, label)]).fit(train)
+
+
+def ridge_pipeline(features: list[str], alpha: float, n: int, target_std: float, label: str = "price") -> Pipeline:
+    """The same penalty as ``alpha`` in MLlib's terms, for a single series or a pooled fit.
+
+    ``n`` and ``target_std`` (population) are those of the training rows.
+    """
+    reg = LinearRegression(
+        featuresCol="features", labelCol=label, elasticNetParam=0.0, solver="normal", standardization=True,
+        regParam=alpha * target_std / n,
+    )
+    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), reg])
+
+
+def scaled_lags(split: DataFrame, lags) -> DataFrame:
+    """Lag matrix of the standardised price with the true price beside it, written once for repeated reads."""
+    df = split.withColumn("actual", F.col("price"))
+    df = scale_by_series(df, ["price"], F.col("split") == "train")
+    keep = ("split", "actual", "price__mean", "price__std")
+    return materialise(lag_matrix(df, lags, keep=keep), "lags")
+
+
+def tree_forecast(matrix: DataFrame, lags, family: str, params: dict, model_name: str, seed: int = 42) -> DataFrame:
+    """Fit on train rows, one-step forecasts of test rows from true history, as a long prediction table."""
+    names = [f"lag_{k}" for k in lags]
+    model = fit_trees(matrix.where(F.col("split") == "train"), names, family, params, seed)
+    return predictions_of(model, matrix.where(F.col("split") == "test"), model_name)
+
+
+def predictions_of(model: PipelineModel, rows: DataFrame, model_name: str) -> DataFrame:
+    return model.transform(rows).select(
+        "series_id", "date", F.lit(model_name).alias("model"), "actual", unscale(F.col("prediction"), "price").alias("predicted")
+    )
+
+
+# Fixed parameters of the two tree forecasters.
+FOREST_PARAMS = {"n_estimators": 400, "min_samples_leaf": 2}
+BOOSTING_PARAMS = {"n_estimators": 350, "learning_rate": 0.03, "max_depth": 4}
+
+
+def kernel_features(x: Column, size: int, components: int, gamma: float, seed: int) -> Column:
+    """Array of random cosine features of the array ``x``; their products approximate an RBF kernel of that gamma."""
+    rng = random.Random(seed)
+    waves = []
+    for _ in range(components):
+        phase = F.lit(rng.uniform(0, 2 * math.pi)).alias("phase")
+        weights = F.array(*[F.lit(rng.gauss(0.0, math.sqrt(2 * gamma))) for _ in range(size)]).alias("weights")
+        waves.append(F.struct(phase, weights))
+    height = math.sqrt(2.0 / components)
+    angle = lambda w: F.aggregate(F.zip_with(w["weights"], x, lambda a, b: a * b), w["phase"], lambda s, v: s + v)
+    return F.transform(F.array(*waves), lambda w: F.lit(height) * F.cos(angle(w)))
+
+
+def kernel_forecast(split: DataFrame, lags, c: float = 10.0, components: int = 100, seed: int = 42, model_name: str = "svr_rbf") -> DataFrame:
+    """RBF kernel regression on standardised lags, one fit per series.
+
+    An approximation of support-vector regression: random features replace the kernel and squared error the
+    insensitive loss, so nothing needs all pairs of rows. ``gamma`` is one over the number of lags.
+    """
+    lagged = lag_matrix(split, lags, keep=("split",)).withColumn("actual", F.col("y"))
+    names = [f"lag_{k}" for k in lags]
+    train = F.col("split") == "train"
+    scaled = scale_by_series(lagged, ["y", *names], train)
+    scaled = scaled.withColumn("_x", F.array(*names))
+    scaled = scaled.withColumn("waves", kernel_features(F.col("_x"), len(names), components, 1.0 / len(names), seed))
+    fitted = ridge_fit(scaled.where(train), "waves", 1.0 / (2.0 * c), "y", standardise=False)
+    rows = ridge_predict(scaled.where(F.col("split") == "test"), fitted, "waves", "z")
+    return rows.select(
+        "series_id", "date", F.lit(model_name).alias("model"), "actual", unscale(F.col("z"), "y").alias("predicted")
+    )
+
+
+def _pooled(rows: DataFrame, prefix: str) -> DataFrame:
+    return rows.agg(*[c.alias(f"{prefix}_{n}") for n, c in metric_columns().items()])
+
+
+def search_trees(train: DataFrame, features: list[str], family: str, n_iter: int, k: int, seed: int = 42, space: dict | None = None, parallelism: int = 4) -> tuple[dict, float]:
+    """Best drawn parameters and their mean walk-forward RMSE. Each fit is a Spark job over the whole panel;
+    what returns to the driver is one number per draw and fold."""
+    folds = materialise(walk_forward(train, k), "folds")
+    draws = draw_params(space or SEARCH_SPACES[family], n_iter, seed)
+
+    def run(task: tuple[int, int]) -> tuple[int, float]:
+        no, fold = task
+        part = folds.where(F.col("fold") == fold)
+        model = fit_trees(part.where(F.col("role") == "train"), features, family, draws[no], seed, "price")
+        rows = predictions_of(model, part.where(F.col("role") == "test"), family)
+        return no, _pooled(rows, "cv").first()["cv_rmse"]
+
+    tasks = [(no, fold) for no in range(len(draws)) for fold in range(k)]
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(run, tasks)
+    mean = {no: sum(s for n, s in scores if n == no) / k for no in range(len(draws))}
+    best = min(mean, key=lambda no: (mean[no], no))
+    return draws[best], mean[best]
+
+
+def train_model(table: DataFrame, features: list[str], family: str, fixed_params: dict | None = None, n_iter: int = 30, k: int = 5, seed: int = 42, space: dict | None = None, refit: bool = True):
+    """Search (or take fixed parameters), fit on train rows, score both parts, refit on all rows.
+
+    ``table`` is a split feature table. Returns predictions of both parts, a one-row report of parameters and
+    metrics over all series, and the model refitted on everything: a coefficient table for ridge, a
+    ``PipelineModel`` for trees, None without ``refit``.
+    """
+    if family == "ridge":
+        table = table.withColumn("actual", F.col("price"))
+        return _train_ridge(table, features, fixed_params, n_iter, k, seed, space)
+    table = table.withColumn("actual", F.col("price"))
+    scaled = materialise(scale_by_series(table, ["price", *features], F.col("split") == "train"), "scaled")
+    train = scaled.where(F.col("split") == "train")
+    cv = None
+    if fixed_params:
+        params = fixed_params
+    else:
+        params, cv = search_trees(train, features, family, n_iter, k, seed, space)
+    model = fit_trees(train, features, family, params, seed, "price")
+    both = predictions_of(model, scaled, family).join(scaled.select("series_id", "date", "split"), ["series_id", "date"])
+    final = fit_trees(scaled, features, family, params, seed, "price") if refit else None
+    return both, _report(both, family, params, cv), final
+
+
+def _train_ridge(table, features, fixed_params, n_iter, k, seed, space):
+    train = table.where(F.col("split") == "train")
+    spark = table.sparkSession
+    if fixed_params:
+        fitted = ridge_fit(train, features, fixed_params["alpha"])
+        params, cv = fixed_params, None
+    else:
+        draws = [d["alpha"] for d in draw_params(space or SEARCH_SPACES["ridge"], n_iter, seed)]
+        scores = ridge_cv(train, features, draws, k)
+        # One penalty for the panel: lowest mean over folds and series.
+        means = scores.groupBy("alpha_no", "alpha").agg(F.avg("rmse").alias("cv_rmse"))
+        best = means.orderBy("cv_rmse", "alpha_no").first()
+        params, cv = {"alpha": best["alpha"]}, best["cv_rmse"]
+        fitted = ridge_fit(train, features, params["alpha"])
+    both = ridge_predict(table, fitted, features).select(
+        "series_id", "date", F.lit("ridge").alias("model"), "actual", "predicted", "split"
+    )
+    final = ridge_fit(table, features, params["alpha"])
+    return both, _report(both, "ridge", params, cv), final
+
+
+def _report(both: DataFrame, family: str, params: dict, cv: float | None) -> DataFrame:
+    """One row: parameters, mean fold RMSE, train and test metrics."""
+    texts = [x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]
+    columns = []
+    for part in ("train", "test"):
+        rows = F.col("split") == part
+        actual, predicted = F.when(rows, F.col("actual")), F.when(rows, F.col("predicted"))
+        e = actual - predicted
+        mse = F.avg(e * e)
+        columns += [
+            F.sqrt(mse).alias(f"{part}_rmse"),
+            F.avg(F.abs(e)).alias(f"{part}_mae"),
+            F.avg(F.abs(e / F.when(F.abs(actual) < 1e-8, F.lit(1e-8)).otherwise(actual))).alias(f"{part}_mape"),
+            (1 - mse / F.var_pop(actual)).alias(f"{part}_r2"),
+            F.count_if(rows).alias(f"{part}_rows"),
+        ]
+    return both.agg(*columns).select(
+        F.lit(family).alias("model_name"),
+        F.lit("fixed_params" if cv is None else "random_search").alias("selection_mode"),
+        F.lit(cv).cast("double").alias("best_cv_rmse"),
+        F.create_map(*texts).alias("best_params"),
+        "*",
+    )
+
+
+def compare_models(table: DataFrame, features: list[str], families, n_iter: int, k: int, seed: int = 42, spaces: dict | None = None) -> DataFrame:
+    """One report row per family."""
+    out = None
+    for family in families:
+        _, report, _ = train_model(table, features, family, None, n_iter, k, seed, (spaces or SEARCH_SPACES)[family], refit=False)
+        out = report if out is None else out.unionByName(report)
+    return out
+
+

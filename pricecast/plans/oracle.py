@@ -190,7 +190,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
 }
 
-RECURSIVE = {"emas", "ewma", "holt"}
+RECURSIVE = {"emas", "ewma"}
 
 
 def sql(body: str, *needs: str) -> str:

@@ -1,6 +1,6 @@
 """All named queries: importing this module fills the catalogue."""
 
-from pricecast.plans import evaluation_queries, panel_queries, profile_queries  # noqa: F401
+from pricecast.plans import evaluation_queries, model_queries, panel_queries, profile_queries  # noqa: F401
 from pricecast.plans.catalog import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
