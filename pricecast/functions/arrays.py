@@ -18,14 +18,25 @@ def kth_from_end(h: Column, k: int) -> Column:
 
 
 def array_mean(h: Column) -> Column:
-    return F.aggregate(h, F.lit(0.0), lambda a, x: a + x) / F.when(F.size(h) > 0, F.size(h))
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"))
+    return F.aggregate(
+        h, start,
+        lambda a, x: F.struct((a["total"] + x).alias("total"), (a["n"] + 1).alias("n")),
+        lambda a: a["total"] / F.when(a["n"] > 0, a["n"]),
+    )
 
 
 def array_std(h: Column) -> Column:
-    """Sample standard deviation (n - 1), two passes over the array."""
-    mean = array_mean(h)
-    squares = F.aggregate(h, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    return F.sqrt(squares / F.when(F.size(h) > 1, F.size(h) - 1))
+    """Sample standard deviation (n - 1) by running mean and squared distance, in one pass."""
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def step(a: Column, x: Column) -> Column:
+        mean = a["mean"] + (x - a["mean"]) / (a["n"] + 1)
+        return F.struct(
+            (a["n"] + 1).alias("n"), mean.alias("mean"), (a["m2"] + (x - a["mean"]) * (x - mean)).alias("m2")
+        )
+
+    return F.aggregate(h, start, step, lambda a: F.sqrt(a["m2"] / F.when(a["n"] > 1, a["n"] - 1)))
 
 
 def array_ema(h: Column, span: int) -> Column:

@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted number form. Guards the cast, which alone would take '12d' and 'nan'.
-NUMBER_PATTERN = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER = r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+
+# Each function mentions its input as few times as it can: an input that is itself a long expression is
+# evaluated once per mention.
 
 
 def to_number(c: Column) -> Column:
     """Decimal text to double; anything else, thousands separators included, is NULL."""
-    text = F.trim(c)
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    return F.regexp_extract(c, rf"^\s*({NUMBER})\s*$", 1).try_cast("double")
 
 
 def volume_to_number(c: Column) -> Column:
     """``'2,300.1m'`` to 2300100000.0; empty or NULL is 0, other bad text NULL."""
-    text = F.upper(F.trim(F.replace(c, F.lit(","), F.lit(""))))
-    unit = F.right(text, F.lit(1))
-    scale = F.when(unit == "K", 1e3).when(unit == "M", 1e6).when(unit == "B", 1e9).otherwise(1.0)
-    body = F.when(unit.isin("K", "M", "B"), F.regexp_replace(text, "[KMB]$", "")).otherwise(text)
-    return F.when(c.isNull() | (c == ""), F.lit(0.0)).otherwise(to_number(body) * scale)
+    text = F.upper(F.replace(c, F.lit(","), F.lit("")))
+    body = F.regexp_extract(text, rf"^\s*({NUMBER})\s*[KMB]?\s*$", 1).try_cast("double")
+    scales = F.create_map(F.lit(""), F.lit(1.0), F.lit("K"), F.lit(1e3), F.lit("M"), F.lit(1e6), F.lit("B"), F.lit(1e9))
+    scale = F.element_at(scales, F.regexp_extract(text, r"([KMB])\s*$", 1))
+    return F.when(F.coalesce(c, F.lit("")) == "", F.lit(0.0)).otherwise(body * scale)
 
 
 def percent_to_number(c: Column) -> Column:
@@ -29,9 +33,19 @@ def percent_to_number(c: Column) -> Column:
     return to_number(F.replace(F.replace(c, F.lit("%"), F.lit("")), F.lit(","), F.lit("")))
 
 
+def _shape(fmt: str) -> str:
+    """Pattern of the texts a numeric date format can match; other formats are not restricted."""
+    if re.search("[A-Za-z]", re.sub("[yMdHms]+", "", fmt)) or "MMM" in fmt:
+        return "^.+$"
+    return "^" + re.sub("[yMdHms]+", lambda m: f"[0-9]{{{len(m.group())}}}", re.escape(fmt)) + "$"
+
+
 def to_date(c: Column, formats: tuple[str, ...]) -> Column:
-    """First format of the ordered list that parses wins; no match is NULL."""
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    """First format of the ordered list that parses wins; no match is NULL.
+
+    Texts of the wrong shape never reach the parser, whose failures are slow.
+    """
+    return F.coalesce(*[F.try_to_date(F.regexp_substr(c, F.lit(_shape(f))), f) for f in formats])
 
 
 def parse_history(c: Column) -> Column:
