@@ -25,7 +25,18 @@ def get_session(master: str = "local[*]", shuffle_partitions: int | None = None)
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Keep generated methods below the size the JVM still compiles.
+
+    A stage fused into one larger method runs interpreted, several times slower than unfused operators; wide
+    text parsing behind a filter gets there.
+    """
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
