@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricecast.operators.evaluate import safe_corr
+
 # Category levels in display order: fixed values.
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri")
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
@@ -92,7 +94,7 @@ def box_stats(df: DataFrame, c: str, keys: list[str]) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns=BAR_COLUMNS, keys=("series_id",)) -> DataFrame:
     """Pearson correlation of every ordered pair; each unordered pair is computed once."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    wide = df.groupBy(*keys).agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    wide = df.groupBy(*keys).agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs])
     cell = lambda a, b, v: F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), v.alias("correlation"))
     cells = [cell(c, c, F.lit(1.0)) for c in columns]
     for a, b in pairs:

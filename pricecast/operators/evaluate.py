@@ -44,6 +44,14 @@ def r2(mse: Column, variance: Column, constant_is_perfect: bool) -> Column:
     return F.when(variance == 0, flat).otherwise(1 - mse / F.when(variance != 0, variance))
 
 
+def safe_corr(a: Column, b: Column) -> Column:
+    """Pearson correlation of the rows that hold both values; NULL, not an error, when one side is constant."""
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.covar_pop(x, y) / F.when(spread != 0, spread)
+
+
 def metric_columns(constant_is_perfect: bool = False) -> dict[str, Column]:
     mse = F.avg(err() * err())
     return {

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricecast.config import SelectionConfig
+from pricecast.operators.evaluate import safe_corr
 from pricecast.operators.features import existing_features
 
 # Score of a feature that explains the target perfectly: the largest double.
@@ -29,7 +30,7 @@ def f_regression(df: DataFrame, features: list[str], target: str = "price", keys
     """
     features = existing_features(df, features)
     wide = df.groupBy(*keys).agg(
-        F.count("*").alias("_n"), *[F.corr(F.col(f).cast("double"), F.col(target)).alias(f"r_{f}") for f in features]
+        F.count("*").alias("_n"), *[safe_corr(F.col(f), F.col(target)).alias(f"r_{f}") for f in features]
     )
     scores = []
     for f in features:

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricecast.config import SEARCH_SPACES
-from pricecast.functions.numeric import zscore, zscore_inverse
-from pricecast.operators.evaluate import metric_columns
+from pricecast.functions.numeric import clamp_denominator, zscore, zscore_inverse
+from pricecast.operators.evaluate import metric_columns, r2
 from pricecast.operators.gram import ridge_cv, ridge_fit, ridge_predict
 from pricecast.operators.layout import SERIES
 from pricecast.operators.splits import draw_params, walk_forward
@@ -240,8 +240,8 @@ def _report(both: DataFrame, family: str, params: dict, cv: float | None) -> Dat
         columns += [
             F.sqrt(mse).alias(f"{part}_rmse"),
             F.avg(F.abs(e)).alias(f"{part}_mae"),
-            F.avg(F.abs(e / F.when(F.abs(actual) < 1e-8, F.lit(1e-8)).otherwise(actual))).alias(f"{part}_mape"),
-            (1 - mse / F.var_pop(actual)).alias(f"{part}_r2"),
+            F.avg(F.abs(e / clamp_denominator(actual))).alias(f"{part}_mape"),
+            r2(mse, F.var_pop(actual), False).alias(f"{part}_r2"),
             F.count_if(rows).alias(f"{part}_rows"),
         ]
     return both.agg(*columns).select(
