@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from pricecast.session import materialise
+
 
 @dataclass(frozen=True)
 class SeriesLayout:
@@ -50,7 +52,8 @@ def with_positions(df: DataFrame, order: tuple[str, ...], bucket: Column, group:
     """
     df = df.withColumn("_bucket", bucket.cast("long"))
     counts = df.groupBy("series_id", "_bucket").agg(F.count("*").alias("_n"))
-    counts = counts.withColumn("_group", F.floor(F.col("_bucket") / group))
+    # Small beside the rows, and read twice below.
+    counts = materialise(counts.withColumn("_group", F.floor(F.col("_bucket") / group)), "counts")
     groups = counts.groupBy("series_id", "_group").agg(F.sum("_n").alias("_gn"))
     before_groups = Window.partitionBy("series_id").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.select(

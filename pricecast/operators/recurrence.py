@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricecast.session import materialise
+
 
 def block_rows(a: float) -> int:
     """Smallest block with ``a^B`` below about 2e-16."""
@@ -45,17 +47,18 @@ def scan_series(df: DataFrame, a: float, x: Column, out: str) -> DataFrame:
 def scan_blocks(df: DataFrame, a: float, x: Column, out: str) -> DataFrame:
     """The recurrence on a panel of unbounded series; ``df`` carries ``_rn``.
 
-    A block needs only the ends of the two blocks before it, fetched by two equi-joins on the block number,
-    so a series is spread over all its blocks.
+    A block needs only the ends of the two blocks before it: every end is sent to the two blocks after it,
+    summed with its weight, and joined by block number, so a series is spread over all its blocks. Rows with
+    their running sums are written to the shared folder once, as both sides of the join read them.
     """
     size = block_rows(a)
-    df = _locals(df, a, x, size)
-    ends = df.where(F.col("_place") == size - 1).select("series_id", "_scan", "_local")
-    near = ends.select("series_id", (F.col("_scan") + 1).alias("_scan"), F.col("_local").alias("_e1"))
-    far = ends.select("series_id", (F.col("_scan") + 2).alias("_scan"), F.col("_local").alias("_e2"))
-    carry = near.join(far, ["series_id", "_scan"], "left").select(
-        "series_id", "_scan", (F.col("_e1") + (a**size) * F.coalesce("_e2", F.lit(0.0))).alias("_carry")
+    df = materialise(_locals(df, a, x, size), "scan")
+    ends = df.where(F.col("_place") == size - 1)
+    targets = F.array(
+        *[F.struct((F.col("_scan") + k).alias("_scan"), (F.col("_local") * a ** (size * (k - 1))).alias("part")) for k in (1, 2)]
     )
+    sent = ends.select("series_id", F.explode(targets).alias("t")).select("series_id", "t.*")
+    carry = sent.groupBy("series_id", "_scan").agg(F.sum("part").alias("_carry"))
     y = F.col("_local") + F.pow(F.lit(a), F.col("_place") + 1) * F.coalesce("_carry", F.lit(0.0))
     return (
         df.join(carry, ["series_id", "_scan"], "left")

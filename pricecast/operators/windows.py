@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pricecast.functions.numeric import finite_or_null, pct_change
 from pricecast.operators.layout import SERIES
+from pricecast.session import materialise
 
 
 def lag_columns(c: str, lags, layout=SERIES, prefix: str | None = None) -> dict[str, Column]:
@@ -78,11 +79,11 @@ def _carry(df: DataFrame, keys: list[str], index: str, c: str, size: int, levels
     block = f"_{c}_{levels}"
     df = df.withColumn(block, F.floor(F.col(index) / size))
     edge = F.max_by if forward else F.min_by
-    # One row per block: the value the block hands on.
-    edges = df.where(F.col(c).isNotNull()).groupBy(*keys, block).agg(edge(c, index).alias("_edge"))
-    blocks = df.groupBy(*keys, block).agg(F.lit(1).alias("_one")).join(edges, [*keys, block], "left")
+    # One row per block: the value the block hands on, NULL if it holds none.
+    held = F.when(F.col(c).isNotNull(), F.col(index))
+    blocks = df.groupBy(*keys, block).agg(edge(c, held).alias("_edge"))
     step = 1 if forward else -1
-    handed = _carry(blocks.select(*keys, block, "_edge"), keys, block, "_edge", size, levels - 1, forward)
+    handed = _carry(blocks, keys, block, "_edge", size, levels - 1, forward)
     handed = handed.select(*keys, (F.col(block) + step).alias(block), F.col("_edge").alias("_in"))
     w = Window.partitionBy(*keys, block).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
@@ -96,8 +97,10 @@ def fill_positions(df: DataFrame, c: str, size: int = 4096, levels: int = 2) ->
     """Forward then backward fill of one column of a frame with positions ``_rn``.
 
     Blocks hand their last value on through a table of blocks, which is itself cut into blocks, so a series
-    of n rows never puts more than max(size, n / size**levels) rows in one task.
+    of n rows never puts more than max(size, n / size**levels) rows in one task. The frame is read several
+    times, so it is written to the shared folder first.
     """
-    df = _carry(df, ["series_id"], "_rn", c, size, levels, forward=True)
+    df = materialise(df, "gaps")
     first = df.where(F.col(c).isNotNull()).groupBy("series_id").agg(F.min_by(c, "_rn").alias("_first"))
+    df = _carry(df, ["series_id"], "_rn", c, size, levels, forward=True)
     return df.join(first, "series_id", "left").withColumn(c, F.coalesce(c, "_first")).drop("_first")

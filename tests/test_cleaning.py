@@ -72,7 +72,7 @@ def raw(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("csv") / "bars.csv"
     lines = [",".join(f'"{c}"' if "," in c else c for c in r) for r in ROWS]
     path.write_text("\n".join([HEADER, *lines]) + "\n")
-    return files.read_raw_bars(spark, str(path), "iron")
+    return files.read_raw_bars(spark, str(path), "s")
 
 
 def test_clean_bars(raw):
