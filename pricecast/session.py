@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback: dict[str, str] = {}
+_own: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def get_session(master: str = "local[*]", shuffle_partitions: int | None = None) -> SparkSession:
@@ -42,7 +42,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder; a cluster without the setting is an error.
+    Where the setting is unset, a local session gets a folder of its own that goes when Python ends; on a cluster
+    that is an error.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -50,10 +51,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
-    if app not in _fallback:
-        _fallback[app] = tempfile.mkdtemp(prefix="pricecast-")
-        spark.sparkContext.setCheckpointDir(_fallback[app])
-    return _fallback[app]
+    if app not in _own:
+        _own[app] = tempfile.TemporaryDirectory(prefix="pricecast-", ignore_cleanup_errors=True)
+        spark.sparkContext.setCheckpointDir(_own[app].name)
+    return _own[app].name
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
