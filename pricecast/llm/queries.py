@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricecast.llm import simhash
+from pricecast.llm import bpe, labelled, quality, simhash, syncmers, toxicity
 from pricecast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +23,40 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 @_query
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@_query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    held = labelled.remainder("doc_id", 5) == 0
+    model = quality.fit(docs, labels, ~held)
+    return quality.score(docs, model).select(
+        "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@_query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    held = labelled.remainder("doc_id", 3) == 1
+    model = toxicity.fit(docs, labels, ~held)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+@_query
+def op2_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.against_edited_and_next(table(spark, folder, "documents"))
+
+
+@_query
+def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = tokenizer.encode(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "ids")
+    return tokenizer.decode(encoded).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
