@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricecast.llm import bpe, labelled, quality, simhash, syncmers, toxicity
+from pricecast.llm import bpe, hilbert, labelled, mixing, quality, simhash, syncmers, toxicity, url_filter
+from pricecast.session import materialise
 from pricecast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +61,58 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+RULES = [
+    url_filter.host_rule("block", "net", "/"),
+    url_filter.host_rule("allow", "example.net", "/en/"),
+    url_filter.host_rule("block", "example.com", "/de/"),
+    url_filter.host_rule("allow", "org", "/fr/"),
+]
+
+
+@_query
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+_GENERAL = "|".join(r.name for r in url_filter.GENERAL)
+ORACLE["op5_url_filter"] = f"""
+WITH p AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '{url_filter.SPLIT_URL}', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
+         regexp_extract(coalesce(url, ''), '{url_filter.SPLIT_URL}', 2) AS path
+  FROM pages),
+r(h, s, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+j AS (
+  SELECT p.*, (SELECT max_by(h || s, length(h || s)) FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s)) AS rule
+  FROM p)
+SELECT page_id, host, path, rule,
+       coalesce((SELECT v FROM r WHERE h || s = rule),
+                CASE WHEN regexp_matches(host || path, '(^|[^A-Za-z0-9])({_GENERAL})([^A-Za-z0-9]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM j
+"""
+
+#: Shares of expected tokens by language that the mixing query and the pipeline aim at.
+WEIGHTS = {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11}
+
+
+@_query
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    # only what the query returns goes through the steps, not the texts
+    posterior = mixing.with_posteriors(docs, table(spark, folder, "labels"), list(WEIGHTS)).select("doc_id", "_n", "_p")
+    ready = materialise(posterior, "mixing")
+    steps, _, _ = mixing.fit_rates(ready, WEIGHTS)
+    return ready.select(
+        "doc_id",
+        F.col("_n").cast("long").alias("n_tokens"),
+        *[F.col("_p")[j].alias(f"share_{d}") for j, d in enumerate(WEIGHTS)],
+        mixing.rate_column(steps).alias("rate"),
+    )
+
+
+@_query
+def op9_hilbert(spark: SparkSession, folder: str) -> DataFrame:
+    return hilbert.nearest(table(spark, folder, "embeddings"))
