@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pricecast.session import materialise
 
-CURVES = 40
+CURVES = 32
 AXES = 8
 BITS = 7
 WINDOW = 600  # rows in a window; a query meets its own window and the one on either side
@@ -109,20 +109,27 @@ def _windows(window: int, keep: int):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_c, out_s)], ["q", "c", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = current = None  # (ids, vectors, queries) of full windows
+        before = current = None  # full windows of the curve at hand: ids, vectors, queries
+        curve = None
         ids: list[int] = []
         vectors: list[np.ndarray] = []
         queries: list[tuple[int, np.ndarray]] = []
 
-        def close():
-            nonlocal ids, vectors, queries
-            done = (np.array(ids, dtype=np.int64), np.stack(vectors), queries) if ids else None
-            ids, vectors, queries = [], [], ([] if done else queries)
-            return done
+        def finish():
+            full = (np.array(ids, dtype=np.int64), np.stack(vectors), queries) if ids else None
+            if current is not None:
+                late = [] if full else queries  # queries after the last candidate
+                if current[2] or late:
+                    yield from best(current[2] + late, [b for b in (before, current, full) if b is not None])
+            if full is not None and queries:
+                yield from best(queries, [b for b in (current, full) if b is not None])
 
         for batch in batches:
-            gids, flags, blobs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for gid, asked, blob in zip(gids, flags, blobs):
+            curves, gids, flags, blobs = (batch.column(k).to_pylist() for k in range(4))
+            for c, gid, asked, blob in zip(curves, gids, flags, blobs):
+                if c != curve:
+                    yield from finish()
+                    before, current, curve, ids, vectors, queries = None, None, c, [], [], []
                 v = np.frombuffer(blob)
                 if asked:
                     queries.append((gid, v))
@@ -130,17 +137,11 @@ def _windows(window: int, keep: int):
                 ids.append(gid)
                 vectors.append(v)
                 if len(ids) == window:
-                    full = close()
+                    full = (np.array(ids, dtype=np.int64), np.stack(vectors), queries)
                     if current is not None and current[2]:
                         yield from best(current[2], [b for b in (before, current, full) if b is not None])
-                    before, current = current, full
-        full = close()
-        if current is not None:
-            late = [] if full else queries  # queries after the last candidate of a partition
-            if current[2] or late:
-                yield from best(current[2] + late, [b for b in (before, current, full) if b is not None])
-        if full is not None and full[2]:
-            yield from best(full[2], [b for b in (current, full) if b is not None])
+                    before, current, ids, vectors, queries = current, full, [], [], []
+        yield from finish()
 
     return run
 
@@ -175,7 +176,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, curves: int = CURV
     rows = points.select("gid", "v", "asked").mapInArrow(_numbered(longest, dim, curves, seed), "curve int, key long, gid long, asked boolean, v binary")
     n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, "curve", "key", "gid").sortWithinPartitions("curve", "key", "gid")
-    found = ordered.select("gid", "asked", "v").mapInArrow(_windows(window, k + 1), "q long, c long, score double")
+    found = ordered.select("curve", "gid", "asked", "v").mapInArrow(_windows(window, k + 1), "q long, c long, score double")
     once = found.groupBy("q", "c").agg(F.max("score").alias("score"))
     order = Window.partitionBy("q").orderBy(F.desc("score"), "c")
     best = materialise(once.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= k + 1).select("q", "c", "score"), "found")
