@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricecast.llm import bpe, hilbert, labelled, mixing, quality, simhash, substring_dedup, syncmers, toxicity, url_filter
+from pricecast.llm import bpe, hilbert, labelled, line_dedup, mixing, quality, simhash, substring_dedup, syncmers, toxicity, url_filter
 from pricecast.session import materialise
 from pricecast.sources.tables import table
 
@@ -121,3 +121,8 @@ def op9_hilbert(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op3_substring(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@_query
+def op4_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.by_document(table(spark, folder, "documents").select("doc_id", "text"))
