@@ -105,16 +105,18 @@ def fit_rates(docs: DataFrame, weights: Mapping[str, float], total: float | None
     return steps, targets, reached
 
 
-def mix(docs: DataFrame, labelled_ids: DataFrame, weights: Mapping[str, float], total: float | None = None, domain_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
-    """All columns of docs with n_tokens, a posterior array ``domain_share`` in the order of ``weights``, and ``rate``.
+def mix(docs: DataFrame, labelled_ids: DataFrame, weights: Mapping[str, float], total: float | None = None, domain_col: str = "lang") -> DataFrame:
+    """Columns row (all columns of docs as a struct), n_tokens, share (posteriors in the order of ``weights``) and rate.
 
-    Columns of those names are replaced. A null text has no tokens and the prior as its posterior. The frame with the
-    posteriors is written once to the shared folder, since every step reads it.
+    A null text has no tokens and the prior as its posterior. The frame with the posteriors is written once to the
+    shared folder, since every step reads it.
     """
-    docs = docs.drop("n_tokens", "domain_share", "rate")
-    ready = materialise(with_posteriors(docs, labelled_ids, list(weights), domain_col, id_col), "mixing")
+    packed = docs.select(F.struct(*docs.columns).alias("row"))
+    packed = packed.select("row", *[F.col(f"row.{c}").alias(c) for c in ("doc_id", "text", domain_col)])
+    ready = with_posteriors(packed, labelled_ids, list(weights), domain_col).select("row", "_n", "_p")
+    ready = materialise(ready, "mixing")
     steps, _, _ = fit_rates(ready.select("_n", "_p"), weights, total)
-    return ready.select(*docs.columns, F.col("_n").cast("long").alias("n_tokens"), F.col("_p").alias("domain_share"), rate_column(steps).alias("rate"))
+    return ready.select("row", F.col("_n").cast("long").alias("n_tokens"), F.col("_p").alias("share"), rate_column(steps).alias("rate"))
 
 
 def copies(rate: Column, *keys: Column) -> Column:

@@ -196,3 +196,20 @@ def similar_groups(keys: DataFrame, width: int = 5, similarity: float = 0.8, wor
     roots = materialise(link_in_cells(cells, within(coarse), verify), "roots")
     table = materialise(nodes.join(roots, "id", "left").select("fp", F.coalesce("root", "id").alias("group_id")), "nodes")
     return fps.join(table, "fp").select("id", "group_id")
+
+
+def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs with one row of every group of similar texts: the one of least doc_id (none first), then of least text hash.
+
+    Of rows equal in id and text one stays too.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row")).withColumn("tag", F.xxhash64("row.text"))
+    keys = rows.select(F.col("row.doc_id").alias("doc_id"), "tag", F.xxhash64("row.doc_id", "tag").alias("id"), F.col("row.text").alias("text"))
+    groups = similar_groups(keys.select("id", "text"), width, similarity).groupBy("id").agg(F.min("group_id").alias("group_id"), F.count("*").alias("times"))
+    named = keys.select("doc_id", "tag", "id").distinct().join(groups, "id")
+    best = named.groupBy("group_id").agg(F.min(F.struct("doc_id", "tag", "times")).alias("best"))
+    best = materialise(best.select(F.col("best.doc_id").alias("doc_id"), F.col("best.tag").alias("own"), F.col("best.times").alias("times")), "best")
+    kept = rows.join(best, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("tag") == F.col("own")))
+    once = kept.filter("times = 1").select("row", "tag")
+    again = kept.filter("times > 1").withColumn("key", F.xxhash64("row.doc_id", "tag")).dropDuplicates(["key"]).select("row", "tag")
+    return once.union(again).select("row.*")
