@@ -22,7 +22,7 @@ GROUPS = ("[äöüßÄÖÜ]", "[éèêàçôûîÉÈÊÀÇ]", "[ñóíáúÑÓÍ
 TOKEN = r"[^\x20\x09-\x0D]+"
 STRENGTH = 60.0  # a text weighs like so many characters, so posteriors stay soft
 STEPS = 30
-ENOUGH = 1e-9  # largest relative miss at which the steps end
+ENOUGH = 1e-6  # largest relative miss at which the steps end
 
 
 def with_groups(df: DataFrame, text_col: str = "text") -> DataFrame:

@@ -144,27 +144,39 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _worth(left: np.ndarray) -> np.ndarray:
+    """Independent voters that each voter is worth, given correlations that its class does not explain."""
+    left = np.maximum(left, 0)
+    np.fill_diagonal(left, 0)
+    return 1 / (1 + left.sum(axis=1))
+
+
+def _correlation(v: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    total = max(mass.sum(), 1e-9)
+    d = v - mass @ v / total
+    cov = (d * mass[:, None]).T @ d / total
+    sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+    return cov / np.outer(sd, sd) * (np.outer(sd, sd) > 1e-4)
+
+
 def fit_label_model(v: np.ndarray, prior: float = 0.1, rounds: int = 30) -> LabelModel:
-    """Expectation maximisation from votes alone, started at the majority of the votes."""
+    """Expectation maximisation from votes alone, started at the majority of the votes.
+
+    Voters that all but repeat each other (correlation over 0.9) share one vote from the start; half way, what stays
+    correlated within the classes is discounted too.
+    """
     n, m = v.shape
-    p = np.clip(prior + 0.4 * np.tanh((v > 0).sum(axis=1) - 0.5), 0.02, 0.98)
-    model = LabelModel(prior, np.full((2, m, 3), 1 / 3), np.ones(m))
+    raw = _correlation(v, np.ones(n))
+    worth = _worth(np.where(raw > 0.9, raw, 0.0))
+    p = np.clip(prior + 0.4 * np.tanh((v > 0) @ worth - 0.5), 0.02, 0.98)
     for r in range(rounds):
         classes = np.stack([1 - p, p])
         mass = classes.sum(axis=1)
         emit = np.stack([[[classes[c] @ (v[:, j] == s) for s in (-1, 0, 1)] for j in range(m)] for c in (0, 1)])
         emit = (emit + 0.05) / (mass[:, None, None] + 0.15)
-        if r == rounds // 2:  # what stays correlated within a class is not new evidence
-            left = np.zeros((m, m))
-            for c in (0, 1):
-                mean = classes[c] @ v / max(mass[c], 1e-9)
-                d = v - mean
-                cov = (d * classes[c][:, None]).T @ d / max(mass[c], 1e-9)
-                sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-                left = np.maximum(left, cov / np.outer(sd, sd) * (np.outer(sd, sd) > 1e-4))
-            np.fill_diagonal(left, 0)
-            model.weight = 1 / (1 + np.maximum(left, 0).sum(axis=1))
-        model = LabelModel(float(np.clip(mass[1] / n, 0.001, 0.999)), emit, model.weight)
+        if r == rounds // 2:
+            worth = np.minimum(worth, _worth(np.maximum(_correlation(v, classes[0]), _correlation(v, classes[1]))))
+        model = LabelModel(float(np.clip(mass[1] / n, 0.001, 0.999)), emit, worth)
         p = model.posterior(v)
     return model
 
