@@ -13,8 +13,8 @@ from pricecast.sources.files import require_columns, trim_names
 NUMERIC = ("price", "open", "high", "low", "vol", "change_pct")
 
 
-def parse_bars(raw: DataFrame, cfg: CleaningConfig = CleaningConfig()) -> DataFrame:
-    """Typed columns beside ``series_id`` and ``_seq``; unreadable cells are NULL."""
+def parse_bars(raw: DataFrame, cfg: CleaningConfig = CleaningConfig(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed columns beside ``series_id``, ``_seq`` and ``keep``; unreadable cells are NULL."""
     raw = require_columns(trim_names(raw), RAW_COLUMNS)
     parsed = {
         "Date": lambda c: to_date(c, cfg.date_formats),
@@ -22,7 +22,7 @@ def parse_bars(raw: DataFrame, cfg: CleaningConfig = CleaningConfig()) -> DataFr
         "Change %": percent_to_number,
     }
     typed = [parsed.get(n, to_number)(F.col(f"`{n}`")).alias(SNAKE_NAMES[n]) for n in RAW_COLUMNS]
-    return raw.select("series_id", "_seq", *typed)
+    return raw.select("series_id", "_seq", *keep, *typed)
 
 
 def drop_unusable(parsed: DataFrame) -> DataFrame:
@@ -37,10 +37,10 @@ def keep_last(df: DataFrame, columns: tuple[str, ...] = NUMERIC) -> DataFrame:
     """The row with the highest ``_seq`` of each series and date.
 
     An aggregate rather than a ranking: copies of one date are reduced before the shuffle, so a date repeated
-    in a third of the input reaches its task as one row per map task.
+    in a third of the input reaches its task as one row per map task. With a numeric ``_seq`` every part is of fixed
+    width and the aggregate hashes; a struct ``_seq`` (rows of files) makes it sort.
     """
-    last = F.max_by(F.struct(*columns), "_seq").alias("_last")
-    return df.groupBy("series_id", "date").agg(last).select("series_id", "date", "_last.*")
+    return df.groupBy("series_id", "date").agg(*[F.max_by(c, "_seq").alias(c) for c in columns])
 
 
 def clean_bars(raw: DataFrame, cfg: CleaningConfig = CleaningConfig()) -> DataFrame:

@@ -13,45 +13,47 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricecast.operators.splits import fold_chunk
 
 
 def gram(df: DataFrame, features: list[str] | str, target: str, keys: list[str]) -> DataFrame:
-    """``(keys, g)`` with ``g`` the flattened ``Z'Z`` of every key; rows with missing values are left out.
+    """``(keys, g, shift)`` with ``g`` the flattened ``Z'Z`` of every key; rows with missing values are left out.
 
-    ``features`` is a list of columns or the name of one array column.
+    ``features`` is a list of columns or the name of one array column. ``Z`` holds differences to ``shift``, the first
+    row of the series, so the products of large or constant columns keep their digits; all keys of a series share it.
     """
-    columns = [target] if isinstance(features, str) else [*features, target]
-    narrow = df.select(
-        *keys, *([features] if isinstance(features, str) else []), *[F.col(c).cast("double").alias(c) for c in columns]
-    ).dropna(subset=columns)
+    x = F.col(features) if isinstance(features, str) else F.array(*[F.col(c).cast("double") for c in features])
+    row = F.concat(x, F.array(F.col(target).cast("double")))
+    narrow = df.select(*keys, *[c for c in ("date",) if c not in keys], row.alias("_z"))
+    narrow = narrow.where(F.forall("_z", lambda v: v.isNotNull()))
+    first = F.first("_z").over(Window.partitionBy("series_id").orderBy("date"))
+    narrow = narrow.withColumn("_shift", first).drop(*[c for c in ("date",) if c not in keys])
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for key, rows in pdf.groupby(keys, sort=False):
-                parts = [np.ones(len(rows)), rows[columns].to_numpy(float)]
-                if isinstance(features, str):
-                    parts.insert(1, np.stack(rows[features].to_numpy()))
-                z = np.column_stack(parts)
-                out.append((*key, (z.T @ z).ravel()))
+            for key, rows in pdf.groupby(keys, sort=False, dropna=False):
+                shift = np.asarray(rows["_shift"].iloc[0], float)
+                z = np.column_stack([np.ones(len(rows)), np.stack(rows["_z"].to_numpy()) - shift])
+                out.append((*key, (z.T @ z).ravel(), shift))
             if out:
-                yield pd.DataFrame(out, columns=[*keys, "g"])
+                yield pd.DataFrame(out, columns=[*keys, "g", "shift"])
 
     types = dict(narrow.dtypes)
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", g array<double>"
+    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", g array<double>, shift array<double>"
     parts = narrow.mapInPandas(multiply, schema)
     added = Summarizer.metrics("sum").summary(array_to_vector("g")).getField("sum")
-    return parts.groupBy(*keys).agg(vector_to_array(added).alias("g"))
+    return parts.groupBy(*keys).agg(vector_to_array(added).alias("g"), F.first("shift").alias("shift"))
 
 
 def solve_ridge(g: np.ndarray, alpha: float, standardise: bool = True) -> np.ndarray:
     """``[intercept, coefficients]`` minimising squared error plus ``alpha`` times squared (scaled) coefficients.
 
-    Columns are scaled by their population deviation; a constant column keeps scale 1. NaN when there are no rows.
+    Columns are scaled by their population deviation. A constant column has the coefficient 0. NaN when there are no
+    rows. The solution is in the terms of ``g``, which may be shifted.
     """
     p = g.shape[0] - 2
     n = g[0, 0]
@@ -59,21 +61,26 @@ def solve_ridge(g: np.ndarray, alpha: float, standardise: bool = True) -> np.nda
         return np.full(p + 1, np.nan)
     mean = g[0, 1:] / n
     centred = g[1:, 1:] - n * np.outer(mean, mean)
-    xx, xy = centred[:p, :p], centred[:p, p]
-    scale = np.ones(p)
-    if standardise:
-        deviation = np.sqrt(np.maximum(np.diag(xx) / n, 0.0))
-        flat = deviation <= 1e-10 * np.maximum(np.abs(mean[:p]), 1.0)
-        scale = np.where(flat, 1.0, deviation)
-    lhs = xx / np.outer(scale, scale) + alpha * np.eye(p)
+    spread = np.maximum(np.diag(centred)[:p], 0.0)
+    live = np.flatnonzero(spread > 1e-12 * np.diag(g)[1 : p + 1])
+    xx, xy = centred[np.ix_(live, live)], centred[live, p]
+    scale = np.sqrt(spread[live] / n) if standardise else np.ones(len(live))
+    lhs = xx / np.outer(scale, scale) + alpha * np.eye(len(live))
     try:
-        beta = np.linalg.solve(lhs, xy / scale)
+        solved = np.linalg.solve(lhs, xy / scale)
     except np.linalg.LinAlgError:
-        beta = np.linalg.lstsq(lhs, xy / scale, rcond=None)[0]
-    beta = beta / scale
+        solved = np.linalg.lstsq(lhs, xy / scale, rcond=None)[0]
+    beta = np.zeros(p)
+    beta[live] = solved / scale
     return np.concatenate([[mean[p] - beta @ mean[:p]], beta])
 
 
+def unshifted(solution: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """The same plane in the terms of the data: only the intercept moves."""
+    beta = solution[1:]
+    return np.concatenate([[solution[0] + shift[-1] - beta @ shift[:-1]], beta])
+
+
 def squared_error(g: np.ndarray, solution: np.ndarray) -> float:
     """Sum of squared errors of a solution on the rows behind ``g``."""
     v = np.concatenate([solution, [-1.0]])
@@ -85,14 +92,19 @@ def _square(flat) -> np.ndarray:
     return np.asarray(flat, float).reshape(size, size)
 
 
-def ridge_fit(df: DataFrame, features: list[str] | str, alpha: float, target: str = "price", standardise: bool = True) -> DataFrame:
-    """``(series_id, beta)`` with the intercept first, one row per series."""
+def ridge_fit(df: DataFrame, features: list[str] | str, alpha: float | DataFrame, target: str = "price", standardise: bool = True) -> DataFrame:
+    """``(series_id, beta)`` with the intercept first, one row per series.
+
+    ``alpha`` is one penalty or a table ``(series_id, alpha)``; a series that the table lacks gets no row.
+    """
 
     @F.pandas_udf("array<double>")
-    def solve(g: pd.Series) -> pd.Series:
-        return g.map(lambda a: solve_ridge(_square(a), alpha, standardise))
+    def solve(g: pd.Series, shift: pd.Series, a: pd.Series) -> pd.Series:
+        return pd.Series([unshifted(solve_ridge(_square(x), y, standardise), np.asarray(s, float)) for x, s, y in zip(g, shift, a)])
 
-    return gram(df, features, target, ["series_id"]).select("series_id", solve("g").alias("beta"))
+    sums = gram(df, features, target, ["series_id"])
+    sums = sums.join(alpha, "series_id") if isinstance(alpha, DataFrame) else sums.withColumn("alpha", F.lit(float(alpha)))
+    return sums.select("series_id", solve("g", "shift", F.col("alpha").cast("double")).alias("beta"))
 
 
 def linear_prediction(beta: Column, features: list[str] | str) -> Column:
@@ -108,8 +120,8 @@ def linear_prediction(beta: Column, features: list[str] | str) -> Column:
 
 
 def ridge_predict(df: DataFrame, fitted: DataFrame, features: list[str] | str, out: str = "predicted") -> DataFrame:
-    """Predictions by series; the coefficient table is joined by key, Spark picks the join from its size."""
-    joined = df.join(fitted, "series_id")
+    """Predictions by series, NULL where a series has no fit; Spark picks the join from the table's size."""
+    joined = df.join(fitted, "series_id", "left")
     return joined.withColumn(out, linear_prediction(F.col("beta"), features)).drop("beta")
 
 

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from pricecast.config import SEARCH_SPACES
 from pricecast.functions.numeric import clamp_denominator, zscore, zscore_inverse
-from pricecast.operators.evaluate import metric_columns, r2
-from pricecast.operators.gram import ridge_cv, ridge_fit, ridge_predict
+from pricecast.operators.evaluate import r2
+from pricecast.operators.gram import best_alpha, ridge_cv, ridge_fit, ridge_predict
 from pricecast.operators.layout import SERIES
-from pricecast.operators.splits import draw_params, walk_forward
+from pricecast.operators.splits import draw_params, fold_chunk
 from pricecast.session import materialise
+from pricecast.sources.files import Bundle
 
 
 def lag_matrix(df: DataFrame, lags, price: str = "price", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -48,6 +49,12 @@ def scale_by_series(df: DataFrame, columns: list[str], train: Column) -> DataFra
     return df.drop(*spare)
 
 
+def series_moments(df: DataFrame, columns: list[str], train: Column) -> DataFrame:
+    """``(series_id, center, spread)``: the training moments that :func:`scale_by_series` uses, as arrays."""
+    x = [F.when(train, F.col(c).cast("double")) for c in columns]
+    return df.groupBy("series_id").agg(F.array(*map(F.avg, x)).alias("center"), F.array(*map(F.stddev_pop, x)).alias("spread"))
+
+
 def unscale(prediction: Column, target: str) -> Column:
     return zscore_inverse(prediction, F.col(f"{target}__mean"), F.col(f"{target}__std"))
 
@@ -60,7 +67,7 @@ def learner(family: str, params: dict | None = None, seed: int = 42, label: str
     """
     p = dict(params or {})
     subset = p.get("max_features", 1.0)
-    shared = {"featuresCol": "features", "labelCol": label, "seed": seed, "maxBins": 128, "maxMemoryInMB": 512}
+    shared = {"featuresCol": "features", "labelCol": label, "seed": seed, "maxBins": 256, "maxMemoryInMB": 512}
     if family in ("random_forest", "extra_trees"):
         depth = p.get("max_depth")
         return RandomForestRegressor(
@@ -80,7 +87,7 @@ def learner(family: str, params: dict | None = None, seed: int = 42, label: str
             subsamplingRate=p.get("subsample", 1.0),
             minInstancesPerNode=p.get("min_samples_leaf", 1),
         )
-    raise ValueError("Unsupported model_name. Use one of: ridge, random_forest, gradient_boosting, extra_trees")
+    raise ValueError(f"no learner is called {family!r}; there are ridge, random_forest, gradient_boosting and extra_trees")
 
 
 def fit_trees(train: DataFrame, features: list[str], family: str, params: dict | None = None, seed: int = 42, label: str = "y") -> PipelineModel:
@@ -158,22 +165,26 @@ def kernel_forecast(split: DataFrame, lags, c: float = 10.0, components: int = 1
     )
 
 
-def _pooled(rows: DataFrame, prefix: str) -> DataFrame:
-    return rows.agg(*[c.alias(f"{prefix}_{n}") for n, c in metric_columns().items()])
-
-
 def search_trees(train: DataFrame, features: list[str], family: str, n_iter: int, k: int, seed: int = 42, space: dict | None = None, parallelism: int = 4) -> tuple[dict, float]:
-    """Best drawn parameters and their mean walk-forward RMSE. Each fit is a Spark job over the whole panel;
-    what returns to the driver is one number per draw and fold."""
-    folds = materialise(walk_forward(train, k), "folds")
+    """Best drawn parameters and their mean walk-forward RMSE, on errors in units of each series' training deviation.
+
+    ``train`` is unscaled: every fold is standardised by the moments of its own training rows, which are a prefix of
+    chunks, so no fold sees later levels. Each fit is a Spark job over the whole panel; what returns to the driver is
+    one number per draw and fold.
+    """
+    chunked = materialise(fold_chunk(train, k), "chunks")
     draws = draw_params(space or SEARCH_SPACES[family], n_iter, seed)
+    parts = []
+    for fold in range(k):
+        part = chunked.where(F.col("chunk") <= fold + 1)
+        scaled = scale_by_series(part, ["price", *features], F.col("chunk") <= fold)
+        parts.append(materialise(scaled.drop("actual").withColumn("actual", F.col("price")), f"fold{fold}"))
 
     def run(task: tuple[int, int]) -> tuple[int, float]:
         no, fold = task
-        part = folds.where(F.col("fold") == fold)
-        model = fit_trees(part.where(F.col("role") == "train"), features, family, draws[no], seed, "price")
-        rows = predictions_of(model, part.where(F.col("role") == "test"), family)
-        return no, _pooled(rows, "cv").first()["cv_rmse"]
+        model = fit_trees(parts[fold].where(F.col("chunk") <= fold), features, family, draws[no], seed, "price")
+        rows = model.transform(parts[fold].where(F.col("chunk") == fold + 1))
+        return no, rows.agg(F.sqrt(F.avg((F.col("prediction") - F.col("actual")) ** 2))).first()[0]
 
     tasks = [(no, fold) for no in range(len(draws)) for fold in range(k)]
     with ThreadPool(parallelism) as pool:
@@ -186,9 +197,9 @@ def search_trees(train: DataFrame, features: list[str], family: str, n_iter: int
 def train_model(table: DataFrame, features: list[str], family: str, fixed_params: dict | None = None, n_iter: int = 30, k: int = 5, seed: int = 42, space: dict | None = None, refit: bool = True):
     """Search (or take fixed parameters), fit on train rows, score both parts, refit on all rows.
 
-    ``table`` is a split feature table. Returns predictions of both parts, a one-row report of parameters and
-    metrics over all series, and the model refitted on everything: a coefficient table for ridge, a
-    ``PipelineModel`` for trees, None without ``refit``.
+    ``table`` is a split feature table. Returns predictions of both parts, a report of parameters and metrics with
+    a row per series (levels of different series would flatter a pooled R2), and the model refitted on everything:
+    a coefficient table for ridge, for trees a pipeline with the moments of its series; None without ``refit``.
     """
     if family == "ridge":
         table = table.withColumn("actual", F.col("price"))
@@ -200,36 +211,43 @@ def train_model(table: DataFrame, features: list[str], family: str, fixed_params
     if fixed_params:
         params = fixed_params
     else:
-        params, cv = search_trees(train, features, family, n_iter, k, seed, space)
+        params, cv = search_trees(table.where(F.col("split") == "train"), features, family, n_iter, k, seed, space)
     model = fit_trees(train, features, family, params, seed, "price")
     both = predictions_of(model, scaled, family).join(scaled.select("series_id", "date", "split"), ["series_id", "date"])
-    final = fit_trees(scaled, features, family, params, seed, "price") if refit else None
+    final = None
+    if refit:
+        moments = series_moments(table, ["price", *features], F.col("split") == "train")
+        final = Bundle(fit_trees(scaled, features, family, params, seed, "price"), features, moments)
     return both, _report(both, family, params, cv), final
 
 
 def _train_ridge(table, features, fixed_params, n_iter, k, seed, space):
+    """Every series gets the penalty of its own lowest mean fold RMSE, so a dear series does not choose for the others."""
     train = table.where(F.col("split") == "train")
-    spark = table.sparkSession
     if fixed_params:
-        fitted = ridge_fit(train, features, fixed_params["alpha"])
-        params, cv = fixed_params, None
+        alpha: float | DataFrame = float(fixed_params["alpha"])
+        chosen = table.select("series_id").distinct().select("series_id", F.lit(alpha).alias("alpha"), F.lit(None).cast("double").alias("cv_rmse"))
     else:
         draws = [d["alpha"] for d in draw_params(space or SEARCH_SPACES["ridge"], n_iter, seed)]
-        scores = ridge_cv(train, features, draws, k)
-        # One penalty for the panel: lowest mean over folds and series.
-        means = scores.groupBy("alpha_no", "alpha").agg(F.avg("rmse").alias("cv_rmse"))
-        best = means.orderBy("cv_rmse", "alpha_no").first()
-        params, cv = {"alpha": best["alpha"]}, best["cv_rmse"]
-        fitted = ridge_fit(train, features, params["alpha"])
+        chosen = materialise(best_alpha(ridge_cv(train, features, draws, k)), "penalties")
+        alpha = chosen.select("series_id", "alpha")
+    fitted = ridge_fit(train, features, alpha)
     both = ridge_predict(table, fitted, features).select(
         "series_id", "date", F.lit("ridge").alias("model"), "actual", "predicted", "split"
     )
-    final = ridge_fit(table, features, params["alpha"])
-    return both, _report(both, "ridge", params, cv), final
+    final = ridge_fit(table, features, alpha)
+    report = _report(both, "ridge", {}, None).drop("selection_mode", "best_cv_rmse", "best_params")
+    picked = chosen.select(
+        "series_id",
+        F.lit("fixed_params" if fixed_params else "random_search").alias("selection_mode"),
+        F.col("cv_rmse").alias("best_cv_rmse"),
+        F.create_map(F.lit("alpha"), F.col("alpha").cast("string")).alias("best_params"),
+    )
+    return both, report.join(picked, "series_id", "left").select("series_id", "model_name", "selection_mode", "best_cv_rmse", "best_params", *[c for c in report.columns if c not in ("series_id", "model_name")]), final
 
 
 def _report(both: DataFrame, family: str, params: dict, cv: float | None) -> DataFrame:
-    """One row: parameters, mean fold RMSE, train and test metrics."""
+    """A row per series: parameters, mean fold RMSE, train and test metrics."""
     texts = [x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]
     columns = []
     for part in ("train", "test"):
@@ -244,17 +262,18 @@ def _report(both: DataFrame, family: str, params: dict, cv: float | None) -> Dat
             r2(mse, F.var_pop(actual), False).alias(f"{part}_r2"),
             F.count_if(rows).alias(f"{part}_rows"),
         ]
-    return both.agg(*columns).select(
+    return both.groupBy("series_id").agg(*columns).select(
+        "series_id",
         F.lit(family).alias("model_name"),
         F.lit("fixed_params" if cv is None else "random_search").alias("selection_mode"),
         F.lit(cv).cast("double").alias("best_cv_rmse"),
-        F.create_map(*texts).alias("best_params"),
-        "*",
+        (F.create_map(*texts) if texts else F.create_map().cast("map<string,string>")).alias("best_params"),
+        *[f"{p}_{m}" for p in ("train", "test") for m in ("rmse", "mae", "mape", "r2", "rows")],
     )
 
 
 def compare_models(table: DataFrame, features: list[str], families, n_iter: int, k: int, seed: int = 42, spaces: dict | None = None) -> DataFrame:
-    """One report row per family."""
+    """A report row per family and series."""
     out = None
     for family in families:
         _, report, _ = train_model(table, features, family, None, n_iter, k, seed, (spaces or SEARCH_SPACES)[family], refit=False)

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricecast.session import tune
-
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -18,7 +15,7 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     def register(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = wraps(fn)(lambda spark, folder: fn(tune(spark), folder))
+        QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -25,7 +25,7 @@ from pricecast.plans.catalog import query, r, rounded
 from pricecast.plans.oracle import sql
 from pricecast.sources.bars import daily_bars
 from pricecast.sources.files import ingest_report
-from pricecast.sources.tables import brand_trades, raw_bar_text, ticks
+from pricecast.sources.tables import LINE_KEYS, brand_trades, raw_bar_text, ticks
 
 LAGS = (1, 2, 3, 5, 7, 14, 21, 30)
 ROLLS = [f"price_roll_{s}_{n}" for n in (7, 14, 30) for s in ("mean", "std", "min", "max")]
@@ -93,12 +93,11 @@ def _ingest_report(spark, folder):
     return ingest_report(raw_bar_text(spark, folder))
 
 
-KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+KEYS = LINE_KEYS
 
 
 def _parsed(spark, folder, *columns):
-    df = cl.parse_bars(raw_bar_text(spark, folder))
-    return df.select("series_id", *[F.col(f"_seq.{k}").alias(k) for k in KEYS], *columns)
+    return cl.parse_bars(raw_bar_text(spark, folder), keep=KEYS).select("series_id", *KEYS, *columns)
 
 
 @query("clean_volume", sql(f"SELECT series_id, {', '.join(KEYS)}, {r('vol', 2)} FROM parsed", "parsed"))

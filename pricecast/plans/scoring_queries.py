@@ -157,7 +157,7 @@ def _simple_payload_features(spark, folder):
 
 @query(
     "refused_payloads",
-    sql("SELECT series_id || '|' || strftime(date, '%Y-%m-%d') AS request_id, 'Invalid date format. Use YYYY-MM-DD.' AS reason FROM bars WHERE rn > 30 AND day(date) = 13", "bars"),
+    sql("SELECT series_id || '|' || strftime(date, '%Y-%m-%d') AS request_id, 'date must be a day written as 2024-01-31' AS reason FROM bars WHERE rn > 30 AND day(date) = 13", "bars"),
 )
 def _refused_payloads(spark, folder):
     _, bad = sc.derive_simple(_requests(spark, folder), feature_names())
@@ -207,9 +207,18 @@ def _score_simple_rows(spark, folder):
     return rounded(scored.select("request_id", "prediction"))
 
 
-@query("stream_score_simple", SIMPLE_SQL)
+STREAM_SQL = sql(
+    """SELECT c.series_id || '|' || strftime(c.date, '%Y-%m-%d') AS request_id,
+    CASE WHEN day(c.date) <> 13 THEN round(b0 + b1 * c.price_lag_1, 4) + 0.0 END AS prediction,
+    CASE WHEN day(c.date) = 13 THEN 'date must be a day written as 2024-01-31' END AS reason
+    FROM lagroll c JOIN ridge1 USING (series_id) WHERE c.rn > 30""",
+    "ridge1",
+)
+
+
+@query("stream_score_simple", STREAM_SQL)
 def _stream_score_simple(spark, folder):
-    """The same requests written as files, scored by a stream and read back from its sink."""
+    """All requests written as files, scored by a stream and read back from its sink, refused ones with their reason."""
     base = f"{shared_dir(spark)}/pricecast/stream-{uuid.uuid4().hex}"
     _requests(spark, folder).select(*[f.name for f in REQUEST_SCHEMA]).write.parquet(f"{base}/in")
     _one_feature_coefficients(spark, folder).write.parquet(f"{base}/coefficients")
@@ -217,11 +226,11 @@ def _stream_score_simple(spark, folder):
 
     def score(good):
         scored = sc.score_with_coefficients(good.withColumn("x", F.array(*ONE)), coefficients)
-        return scored.select("request_id", "prediction")
+        return scored.select("request_id", "prediction", "reason")
 
     stream = start_scoring(read_requests(spark, f"{base}/in"), ONE, score, f"{base}/out", f"{base}/state")
     stream.awaitTermination()
-    return rounded(spark.read.schema("request_id string, prediction double").parquet(f"{base}/out"))
+    return rounded(spark.read.schema("request_id string, prediction double, reason string").parquet(f"{base}/out"))
 
 
 @query(

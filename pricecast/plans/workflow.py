@@ -25,7 +25,7 @@ def build_model(
 ) -> DataFrame:
     """Clean, featurise, select, train, register, gate and, if both gates pass, deploy under ``out``.
 
-    Returns the lifecycle decision of the new version. Series too short for a hold-out are listed in
+    Gates are judged by series and all must pass. Returns the lifecycle decision of the new version. Series too short for a hold-out are listed in
     ``rejected``; it is an error when none is left.
     """
     clean = _stage(spark, clean_bars(raw, cleaning), f"{out}/clean")
@@ -47,8 +47,10 @@ def build_model(
     both = _stage(spark, both, f"{out}/predictions")
     report = _stage(spark, report, f"{out}/reports/training")
 
-    gate = ev.metrics(both.where(F.col("split") == "test"), ("model",), constant_is_perfect=True)
-    run = _one_row(report, gate).withColumns(
+    gate = ev.metrics(both.where(F.col("split") == "test"), ("series_id", "model"), constant_is_perfect=True)
+    judged = gov.staging_gate(gov.testing_gate(gov.with_metric_defaults(_side_by_side(report, gate)), gates), gates)
+    judged = _stage(spark, judged, f"{out}/reports/gates")
+    run = gov.over_series(judged, ["family"]).withColumns(
         {"model_name": F.lit(model_name), "run_ts": F.current_timestamp(), "run_id": F.expr("uuid()")}
     )
     run = _stage(spark, run, f"{out}/run")
@@ -56,18 +58,19 @@ def build_model(
     versions = gov.register_versions(run, _existing(spark, history))
     versions.write.mode("append").parquet(history)
     ours = spark.read.parquet(history).select("run_id", "version")
-    checked = gov.staging_gate(gov.testing_gate(gov.with_metric_defaults(run.join(ours, "run_id")), gates), gates)
+    checked = run.join(ours, "run_id")
     decision = _stage(spark, gov.lifecycle(checked), f"{out}/decision")
     gov.alias_events(decision).write.mode("append").parquet(f"{out}/registry/aliases")
+    files.write_report(gov.promotion_report(decision, gates), f"{out}/reports/promotion")
     if decision.first().final_state == "production":
         gov.deploy(decision, final, chosen.select(F.col("selected_position").alias("position"), "feature"), f"{out}/deploy")
     return decision
 
 
-def _one_row(report: DataFrame, gate: DataFrame) -> DataFrame:
-    """Training report and recomputed test metrics of its one model, side by side."""
-    renamed = gate.select(F.col("model").alias("model_name"), *[F.col(m).alias(f"staging_{m}") for m in ("rmse", "mae", "mape", "r2")])
-    return report.join(renamed, "model_name").withColumnRenamed("model_name", "family")
+def _side_by_side(report: DataFrame, gate: DataFrame) -> DataFrame:
+    """Training report and recomputed test metrics of each series."""
+    renamed = gate.select("series_id", *[F.col(m).alias(f"staging_{m}") for m in ("rmse", "mae", "mape", "r2")])
+    return report.join(renamed, "series_id").withColumnRenamed("model_name", "family")
 
 
 def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -80,8 +83,10 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
     try:
         return spark.read.parquet(path).select("model_name", "version")
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def benchmark(spark: SparkSession, clean: DataFrame, out: str, cfg: ResearchConfig = ResearchConfig(), forest: dict | None = None, boosting: dict | None = None, residual: dict | None = None, seed: int = 42) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ def require_columns(df: DataFrame, required: list[str] | tuple[str, ...]) -> Dat
     """The frame itself, or an error naming the columns it lacks."""
     lacking = [c for c in required if c not in df.columns]
     if lacking:
-        raise ValueError(f"Missing required columns: {lacking}")
+        raise ValueError(f"the table has no column named {', '.join(lacking)}")
     return df
 
 
@@ -44,7 +46,7 @@ def read_raw_bars(spark: SparkSession, path: str, series_id: str | None = None)
 
 def ingest_report(raw: DataFrame) -> DataFrame:
     """Row count of a raw table and the number of its columns, library columns left out."""
-    width = len([c for c in raw.columns if c not in ("_seq", "series_id")])
+    width = len([c for c in raw.columns if c in RAW_COLUMNS])
     return raw.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(width).cast("long"))
 
 
@@ -88,3 +90,34 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+@dataclass
+class Bundle:
+    """A deployed model: coefficient table, or pipeline with the moments of its series, and the features in order."""
+
+    model: PipelineModel | DataFrame
+    features: list[str]
+    moments: DataFrame | None = None
+
+
+def save_bundle(bundle: Bundle, path: str, positions: DataFrame) -> None:
+    """Write ``model``, ``features`` (rows position, feature) and ``moments``, where it has them, under a folder."""
+    if isinstance(bundle.model, DataFrame):
+        bundle.model.write.mode("overwrite").parquet(f"{path}/model")
+    else:
+        save_model(bundle.model, f"{path}/model")
+    if bundle.moments is not None:
+        bundle.moments.write.mode("overwrite").parquet(f"{path}/moments")
+    positions.write.mode("overwrite").parquet(f"{path}/features")
+    kind = "coefficients" if isinstance(bundle.model, DataFrame) else "pipeline" if bundle.moments is None else "scaled_pipeline"
+    positions.sparkSession.range(1).select(F.lit(kind).alias("kind")).coalesce(1).write.mode("overwrite").json(f"{path}/kind")
+
+
+def load_bundle(spark: SparkSession, path: str) -> Bundle:
+    """What :func:`save_bundle` wrote."""
+    features = [r.feature for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]  # a row a feature
+    kind = spark.read.schema("kind string").json(f"{path}/kind").first().kind
+    if kind == "coefficients":
+        return Bundle(spark.read.parquet(f"{path}/model"), features)
+    return Bundle(load_model(f"{path}/model"), features, spark.read.parquet(f"{path}/moments") if kind == "scaled_pipeline" else None)

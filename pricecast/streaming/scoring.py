@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,22 +33,24 @@ def read_requests(spark: SparkSession, folder: str, form: str = "parquet", files
     return reader.load(folder)
 
 
-def start_scoring(requests: DataFrame, features: list[str], score: Callable[[DataFrame], DataFrame], out: str, state: str, refused: str | None = None) -> StreamingQuery:
-    """Score every micro-batch into ``out`` and, if named, refused requests with reasons into ``refused``.
+def start_scoring(requests: DataFrame, features: list[str], score: Callable[[DataFrame], DataFrame], out: str, state: str) -> StreamingQuery:
+    """Score every micro-batch into ``out``: ``request_id``, ``prediction``, ``reason``.
 
-    The file sink and the state folder give each request exactly one result after a restart.
+    ``score`` gives ``request_id``, ``prediction`` and, where it has one, ``reason`` of the accepted requests. Refused
+    requests come out beside them with a reason and no prediction, from the same query, so none is lost unseen. The
+    file sink and the state folder give each request exactly one result after a restart.
     """
     good, bad = derive_simple(requests, features)
-    if refused:
-        bad.writeStream.format("parquet").outputMode("append").option("path", refused).option(
-            "checkpointLocation", f"{state}/refused"
-        ).trigger(availableNow=True).start()
+    scored = score(good)
+    reason = F.col("reason") if "reason" in scored.columns else F.lit(None).cast("string")
+    scored = scored.select("request_id", F.col("prediction").cast("double").alias("prediction"), reason.alias("reason"))
+    refused = bad.select("request_id", F.lit(None).cast("double").alias("prediction"), "reason")
     return (
-        score(good)
+        scored.unionByName(refused)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", out)
-        .option("checkpointLocation", f"{state}/scored")
+        .option("checkpointLocation", state)
         .trigger(availableNow=True)
         .start()
     )

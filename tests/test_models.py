@@ -68,10 +68,29 @@ def test_ridge_equals_closed_form_and_mllib(table):
     got = by_series(model.transform(table.where("split = 'test'")), c="prediction")
     np.testing.assert_allclose(got, want, rtol=1e-7)
     row = report.first()
-    assert row.selection_mode == "fixed_params" and row.test_rows == 2 * N and row.test_r2 > 0.9
+    assert row.selection_mode == "fixed_params" and row.test_rows == N and row.test_r2 > 0.9
     assert final.count() == 2
 
 
+def test_constant_columns_have_no_weight(table):
+    columns = {"c1": F.lit(0.1), "c2": F.lit(2023.0), "c3": F.lit(987654.3)}
+    fitted = gram.ridge_fit(table.where("split = 'train'").withColumns(columns), ["price_lag_1", *columns], 0.2196)
+    plain = {r.series_id: r.beta for r in gram.ridge_fit(table.where("split = 'train'"), ["price_lag_1"], 0.2196).collect()}
+    for r in fitted.collect():
+        assert r.beta[2:] == [0.0, 0.0, 0.0]
+        np.testing.assert_allclose(r.beta[:2], plain[r.series_id], rtol=1e-9)
+
+
+def test_penalty_and_report_are_per_series(table):
+    both, report, _ = regress.train_model(table, ["price_lag_1", "vol"], "ridge", None, n_iter=8, k=3)
+    rows = {r.series_id: r for r in report.collect()}
+    scores = gram.ridge_cv(table.where("split = 'train'"), ["price_lag_1", "vol"], [d["alpha"] for d in splits.draw_params(SEARCH_SPACES["ridge"], 8, 42)], 3)
+    for r in gram.best_alpha(scores).collect():
+        assert float(rows[r.series_id].best_params["alpha"]) == r.alpha
+    pdf = both.where("split = 'test' AND series_id = 'b'").toPandas()
+    assert abs(rows["b"].test_rmse - np.sqrt(((pdf.actual - pdf.predicted) ** 2).mean())) < 1e-9
+
+
 def test_ridge_search(table):
     names = ["price_lag_1", "price_roll_mean_7"]
     train = table.where("split = 'train'")
@@ -190,3 +209,34 @@ def test_short_series_are_rejected(panel, spark):
     assert kept.select("series_id").distinct().count() == 1 and [r.series_id for r in rejected.collect()] == ["b"]
     with pytest.raises(ValueError):
         splits.require_any(splits.guard_length(panel, 10_000)[0], 10_000)
+
+
+def test_deployed_trees_score_in_prices(spark, table, tmp_path):
+    from pricecast.operators import score as sc
+    from pricecast.sources import files
+
+    names = ["price_lag_1", "price_roll_mean_7"]
+    both, report, final = regress.train_model(table, names, "random_forest", {"n_estimators": 5, "max_depth": 4})
+    assert {r.series_id for r in report.collect()} == {"a", "b"}
+    positions = spark.createDataFrame(list(enumerate(names)), "position int, feature string")
+    files.save_bundle(final, str(tmp_path), positions)
+    bundle = files.load_bundle(spark, str(tmp_path))
+    asked = table.where("split = 'test'").select("series_id", "date", *names)
+    asked = asked.unionByName(asked.limit(1).withColumn("series_id", F.lit("z")))
+    rows = sc.score_with_bundle(asked, bundle)
+    assert rows.where("series_id = 'z' AND prediction IS NULL AND reason IS NOT NULL").count() == 1
+    near = rows.join(table.select("series_id", "date", "price"), ["series_id", "date"])
+    assert near.count() == 2 * N
+    level = {r.series_id: r.e / r.p for r in near.groupBy("series_id").agg(F.avg(F.abs(F.col("prediction") - F.col("price"))).alias("e"), F.avg("price").alias("p")).collect()}
+    assert all(v < 0.25 for v in level.values())
+
+
+def test_one_bad_series_blocks_production(spark):
+    from pricecast.operators import governance as gov
+
+    rows = [("ridge", "a", 0.1, 0.001, 0.999, 0.1, 0.001, 0.999), ("ridge", "b", 0.1, 0.5, -0.03, 0.1, 0.5, -0.03)]
+    names = "family string, series_id string, test_rmse double, test_mape double, test_r2 double, staging_rmse double, staging_mape double, staging_r2 double"
+    df = spark.createDataFrame(rows, names).withColumn("test_mae", F.lit(0.1))
+    judged = gov.staging_gate(gov.testing_gate(gov.with_metric_defaults(df)))
+    one = gov.lifecycle(gov.over_series(judged, ["family"])).first()
+    assert one.n_series == 2 and not one.testing_passed and one.final_state == "testing" and one.test_r2 == -0.03
