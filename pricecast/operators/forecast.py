@@ -246,10 +246,12 @@ def hybrid_inverse_rmse(split: DataFrame, lags, p: int = 5, params: dict | None
 def residual_panel(split: DataFrame, p: int = 5, length: int = 30) -> DataFrame:
     """Rows with ``ar``, the scaled residual, the ``length`` scaled residuals before it, and the scaling.
 
-    The first p + 1 residuals of a series do not exist and are dropped. Scaling uses train rows only.
+    The first p + 1 residuals of a series do not exist and are dropped. A series whose autoregression has no solution
+    stays, corrected from its last training price. Scaling uses train rows only.
     """
     lagged = with_differences(last_train_price(split), p)
-    df = ar_predict(lagged, ar_fit(lagged, p), p).where(F.col("ar").isNotNull())
+    df = ar_predict(lagged, ar_fit(lagged, p), p).where(F.col(f"d_{p}").isNotNull())
+    df = df.withColumn("ar", F.coalesce("ar", "last_train"))
     df = df.withColumn("residual", finite_or_zero(F.col("price") - F.col("ar")))
     whole = Window.partitionBy("series_id")
     of_train = F.when(_is_train(), F.col("residual"))

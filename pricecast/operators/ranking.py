@@ -58,8 +58,13 @@ def forest_importance(df: DataFrame, features: list[str], target: str = "price",
 
 
 def rank(scores: DataFrame, keys=("series_id",)) -> DataFrame:
-    """Add ``rank``, best score first and table order for ties; at most one row per feature and key."""
-    w = Window.partitionBy(*keys).orderBy(F.col("score").desc_nulls_last(), "position") if keys else Window.orderBy(F.col("score").desc_nulls_last(), "position")
+    """Add ``rank``, best score first; at most one row per feature and key.
+
+    Scores equal to six decimals are ties and keep table order: proportional features, such as a return and the same
+    return in percent, differ by rounding only.
+    """
+    order = (F.round("score", 6).desc_nulls_last(), "position")
+    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
     return scores.withColumn("rank", F.row_number().over(w))
 
 
@@ -84,6 +89,4 @@ def rank_features(df: DataFrame, features: list[str], cfg: SelectionConfig = Sel
         return rank(f_regression(df, features, keys=keys), keys)
     if cfg.method == "random_forest_importance":
         return rank(forest_importance(df, features, cfg=cfg), ())
-    raise ValueError(
-        "Unsupported method. Use one of: none, random_forest_importance, f_regression"
-    )
+    raise ValueError(f"no ranking is called {cfg.method!r}; there are none, f_regression and random_forest_importance")

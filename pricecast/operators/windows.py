@@ -93,14 +93,17 @@ def _carry(df: DataFrame, keys: list[str], index: str, c: str, size: int, levels
     )
 
 
-def fill_positions(df: DataFrame, c: str, size: int = 4096, levels: int = 2) -> DataFrame:
+def fill_positions(df: DataFrame, c: str, size: int = 4096) -> DataFrame:
     """Forward then backward fill of one column of a frame with positions ``_rn``.
 
-    Blocks hand their last value on through a table of blocks, which is itself cut into blocks, so a series
-    of n rows never puts more than max(size, n / size**levels) rows in one task. The frame is read several
-    times, so it is written to the shared folder first.
+    Blocks hand their last value on through a table of blocks, which is itself cut into blocks, level upon level until
+    one fits a block, so no task gets more than ``size`` rows of a series. The frame is read several times, so it is
+    written to the shared folder first.
     """
     df = materialise(df, "gaps")
+    longest, levels = df.agg(F.max("_rn")).first()[0] or 0, 0
+    while longest > size:
+        longest, levels = longest // size + 1, levels + 1
     first = df.where(F.col(c).isNotNull()).groupBy("series_id").agg(F.min_by(c, "_rn").alias("_first"))
     df = _carry(df, ["series_id"], "_rn", c, size, levels, forward=True)
     return df.join(first, "series_id", "left").withColumn(c, F.coalesce(c, "_first")).drop("_first")

@@ -14,7 +14,7 @@ from pricecast.operators import forecast as fc
 from pricecast.operators import gram, ranking, regress, splits
 from pricecast.plans import frames
 from pricecast.plans.catalog import query, r, rounded
-from pricecast.plans.oracle import sql
+from pricecast.plans.oracle import add_ridge, sql
 
 LAGS = ResearchConfig().lags
 SMALL_FOREST = {"n_estimators": 20, "max_depth": 8, "min_samples_leaf": 2}
@@ -124,50 +124,47 @@ def _train_test_union(spark, folder):
     return rounded(bridge.select("series_id", "date", pct_change_column("price", 1).alias("ret")), 8)
 
 
-F_FEATURES = [n for n in feature_names() if n not in ("ema_14", "price_return_1", "day_of_week", "day_of_month", "week_of_year", "month", "quarter", "year", "is_month_start", "is_month_end")]
-
-
 def _scores_sql() -> str:
     return " UNION ALL ".join(
         f"""SELECT series_id, CAST({i} AS BIGINT) AS position, '{f}' AS feature,
         CASE WHEN corr({f}, price) IS NULL OR isnan(corr({f}, price)) THEN 0.0
         ELSE pow(corr({f}, price), 2) / (1 - pow(corr({f}, price), 2)) * (count(*) - 2) END AS score
-        FROM complete WHERE split = 'train' GROUP BY series_id"""
-        for i, f in enumerate(F_FEATURES)
+        FROM feature_rows WHERE split = 'train' GROUP BY series_id"""
+        for i, f in enumerate(feature_names())
     )
 
 
-@query("f_regression_rank", sql(f"SELECT series_id, position, feature, round(score, 4) + 0.0 AS score FROM ({_scores_sql()})", "complete"))
+@query("f_regression_rank", sql(f"SELECT series_id, position, feature, round(score, 4) + 0.0 AS score FROM ({_scores_sql()})", "feature_rows"))
 def _f_regression_rank(spark, folder):
-    return rounded(ranking.f_regression(_train(spark, folder), F_FEATURES))
+    return rounded(ranking.f_regression(_feature_split(spark, folder).where(F.col("split") == "train"), feature_names()))
 
 
 @query(
     "select_features",
     sql(
-        f""", s AS ({_scores_sql()}), k AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY score DESC, position) AS rank,
+        f""", s AS ({_scores_sql()}), k AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY round(score, 6) DESC, position) AS rank,
         list_position(['open', 'high', 'low', 'vol', 'change_pct'], feature) AS place FROM s)
         SELECT series_id, feature, row_number() OVER (PARTITION BY series_id ORDER BY CASE WHEN rank <= 12 THEN 0 ELSE 1 END,
         CASE WHEN rank <= 12 THEN rank ELSE place END) AS selected_position FROM k WHERE rank <= 12 OR place IS NOT NULL""",
-        "complete",
+        "feature_rows",
     ),
 )
 def _select_features(spark, folder):
     cfg = SelectionConfig(method="f_regression")
-    chosen = ranking.select_features(ranking.rank_features(_train(spark, folder), F_FEATURES, cfg), cfg)
+    chosen = ranking.select_features(ranking.rank_features(_feature_split(spark, folder).where(F.col("split") == "train"), feature_names(), cfg), cfg)
     return chosen.select("series_id", "feature", F.col("selected_position").cast("long").alias("selected_position"))
 
 
 @query(
     "top_ranked",
     sql(
-        f"""SELECT series_id, feature, row_number() OVER (PARTITION BY series_id ORDER BY score DESC, position) AS rank
+        f"""SELECT series_id, feature, row_number() OVER (PARTITION BY series_id ORDER BY round(score, 6) DESC, position) AS rank
         FROM ({_scores_sql()}) QUALIFY rank <= 20""",
-        "complete",
+        "feature_rows",
     ),
 )
 def _top_ranked(spark, folder):
-    ranked = ranking.rank_features(_train(spark, folder), F_FEATURES, SelectionConfig(method="f_regression"))
+    ranked = ranking.rank_features(_feature_split(spark, folder).where(F.col("split") == "train"), feature_names(), SelectionConfig(method="f_regression"))
     return ranked.where(F.col("rank") <= 20).select("series_id", "feature", F.col("rank").cast("long").alias("rank"))
 
 
@@ -225,11 +222,22 @@ def _feature_split(spark, folder):
     return splits.holdout(frames.features(spark, folder), frames.TEST_SIZE)
 
 
-@query("ridge_forecast")
+add_ridge("ridge_all", "feature_rows", feature_names(), ALPHA)
+ALL = f"[{', '.join(f'CAST({f} AS DOUBLE)' for f in feature_names())}]"
+
+
+@query(
+    "ridge_forecast",
+    sql(
+        f"""SELECT series_id, date, 'ridge' AS model, price AS actual, round(b0 + list_dot_product(b, {ALL}), 2) + 0.0 AS predicted
+        FROM feature_rows JOIN ridge_all USING (series_id) WHERE split = 'test'""",
+        "feature_rows", "ridge_all",
+    ),
+)
 def _ridge_forecast(spark, folder):
     """All 37 features with the selected penalty; test predictions."""
     both, _, _ = regress.train_model(_feature_split(spark, folder), feature_names(), "ridge", {"alpha": ALPHA})
-    return rounded(both.where(F.col("split") == "test").drop("split"))
+    return rounded(both.where(F.col("split") == "test").drop("split"), 2)
 
 
 @query("forest_forecast")

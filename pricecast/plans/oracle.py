@@ -190,9 +190,38 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
 }
 
+CTES["feature_rows"] = (("features",), "SELECT *, CASE WHEN n - rn < 252 THEN 'test' ELSE 'train' END AS split FROM features")
+
 RECURSIVE = {"emas", "ewma"}
 
 
+def add_ridge(name: str, source: str, features: list[str], alpha: float) -> None:
+    """Adds ``name (series_id, b0, b)``: ridge on standardised features, solved by elimination on lists."""
+    p = len(features)
+    cells = lambda f: ", ".join(f"{f}({c})" for c in features)
+    rows = ", ".join("[" + ", ".join(f"covar_pop({a}, {b})" for b in features) + "]" for a in features)
+    CTES[f"{name}_sums"] = (
+        (source,),
+        f"""SELECT series_id, CAST(count(*) AS DOUBLE) AS n, [{cells('avg')}] AS mx, avg(price) AS my,
+        list_transform([{cells('stddev_pop')}], lambda s: CASE WHEN s < 1e-12 THEN 0.0 ELSE 1.0 / s END) AS inv,
+        [{', '.join(f'covar_pop({c}, price)' for c in features)}] AS c, [{rows}] AS cc
+        FROM {source} WHERE split = 'train' GROUP BY series_id""",
+    )
+    CTES[f"{name}_steps"] = (
+        (f"{name}_sums",),
+        f"""SELECT series_id, 0 AS k, list_transform(cc, lambda r, i: list_append(list_transform(r, lambda x, j:
+        n * x * inv[i] * inv[j] + CASE WHEN i = j THEN CAST({alpha} AS DOUBLE) ELSE 0.0 END), n * c[i] * inv[i])) AS a FROM {name}_sums
+        UNION ALL SELECT series_id, k + 1, list_transform(a, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda x: x / a[k + 1][k + 1])
+        ELSE list_transform(r, lambda x, j: x - r[k + 1] * a[k + 1][j] / a[k + 1][k + 1]) END) FROM {name}_steps WHERE k < {p}""",
+    )
+    CTES[name] = (
+        (f"{name}_sums", f"{name}_steps"),
+        f"""SELECT series_id, b, my - list_dot_product(b, mx) AS b0 FROM (SELECT series_id, my, mx,
+        list_transform(a, lambda r, i: r[{p + 1}] * inv[i]) AS b FROM {name}_steps JOIN {name}_sums USING (series_id) WHERE k = {p})""",
+    )
+    RECURSIVE.add(f"{name}_steps")
+
+
 def sql(body: str, *needs: str) -> str:
     """``body`` behind the expressions it needs. Long ones are computed once."""
     order: list[str] = []

@@ -15,8 +15,8 @@ from pricecast.operators.regress import ridge_pipeline
 from pricecast.operators.windows import sequence_windows
 from pricecast.plans import frames
 from pricecast.plans.catalog import query, r, rounded
-from pricecast.plans.model_queries import ALPHA, F_FEATURES, ONE, _scores_sql
-from pricecast.plans.oracle import CTES, sql
+from pricecast.plans.model_queries import ALL, ALPHA, ONE, _feature_split, _scores_sql
+from pricecast.plans.oracle import CTES, add_ridge, sql
 from pricecast.session import shared_dir
 from pricecast.streaming.scoring import REQUEST_SCHEMA, read_requests, start_scoring
 
@@ -53,7 +53,7 @@ def _validate_map_rows(spark, folder):
     )
 
 
-CHOSEN = f""", s AS ({_scores_sql()}), k AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY score DESC, position) AS rank,
+CHOSEN = f""", s AS ({_scores_sql()}), k AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY round(score, 6) DESC, position) AS rank,
 list_position(['open', 'high', 'low', 'vol', 'change_pct'], feature) AS place FROM s),
 chosen AS (SELECT series_id, feature, row_number() OVER (PARTITION BY series_id ORDER BY CASE WHEN rank <= 12 THEN 0 ELSE 1 END,
 CASE WHEN rank <= 12 THEN rank ELSE place END) AS position FROM k WHERE rank <= 12 OR place IS NOT NULL),
@@ -64,12 +64,12 @@ CASE feature WHEN 'price_return_1' THEN 2 WHEN 'price_return_7' THEN 8 WHEN 'ema
 
 def _chosen(spark, folder):
     cfg = SelectionConfig(method="f_regression")
-    train = frames.complete_rows(spark, folder).where(F.col("split") == "train")
-    chosen = ranking.select_features(ranking.rank_features(train, F_FEATURES, cfg), cfg)
+    train = _feature_split(spark, folder).where(F.col("split") == "train")
+    chosen = ranking.select_features(ranking.rank_features(train, feature_names(), cfg), cfg)
     return chosen.select("series_id", F.col("selected_position").alias("position"), "feature")
 
 
-@query("min_history", sql(CHOSEN + "SELECT series_id, CAST(max(need) AS BIGINT) AS minimum_history FROM h GROUP BY series_id", "complete"))
+@query("min_history", sql(CHOSEN + "SELECT series_id, CAST(max(need) AS BIGINT) AS minimum_history FROM h GROUP BY series_id", "feature_rows"))
 def _min_history(spark, folder):
     return rounded(sc.min_history(_chosen(spark, folder), ("series_id",)))
 
@@ -80,7 +80,7 @@ def _min_history(spark, folder):
         CHOSEN
         + """SELECT series_id, string_agg(feature, ',' ORDER BY position) AS feature_columns, count(*) AS model_feature_count,
         CAST(max(need) AS BIGINT) AS minimum_history FROM h GROUP BY series_id""",
-        "complete",
+        "feature_rows",
     ),
 )
 def _model_metadata(spark, folder):
@@ -164,73 +164,66 @@ def _refused_payloads(spark, folder):
     return bad.select("request_id", "reason")
 
 
-def _one_feature_coefficients(spark, folder):
-    train = frames.complete_rows(spark, folder).where(F.col("split") == "train")
-    return ridge_fit(train, ONE, ALPHA)
+def _all_coefficients(spark, folder):
+    return ridge_fit(_feature_split(spark, folder).where(F.col("split") == "train"), feature_names(), ALPHA)
 
 
-CTES["ridge1"] = (
-    ("complete",),
-    f"""SELECT series_id, avg(price) - avg(price_lag_1) * b AS b0, any_value(b) AS b1 FROM complete JOIN (
-    SELECT series_id, count(*) * covar_pop(price, price_lag_1) / var_pop(price_lag_1) / (count(*) + {ALPHA}) AS b FROM complete
-    WHERE split = 'train' GROUP BY series_id) USING (series_id) WHERE split = 'train' GROUP BY series_id, b""",
-)
+add_ridge("ridge_map", "complete", MAP_FEATURES, ALPHA)
 
 
 @query(
     "score_map_rows",
     sql(
-        """SELECT c.series_id, c.date, round(b0 + b1 * price_lag_1, 4) + 0.0 AS prediction FROM complete c JOIN ridge1 USING (series_id)
-        WHERE day(date) NOT IN (11, 12, 13)""",
-        "ridge1",
+        """SELECT c.series_id, c.date, round(b0 + list_dot_product(b, [price_lag_1, open, vol]), 2) + 0.0 AS prediction
+        FROM complete c JOIN ridge_map USING (series_id) WHERE day(date) NOT IN (11, 12, 13)""",
+        "complete", "ridge_map",
     ),
 )
 def _score_map_rows(spark, folder):
     good, _ = sc.validate_maps(_map_requests(spark, folder), MAP_FEATURES)
-    # The model reads the first feature alone.
-    rows = good.withColumn("x", F.slice("x", 1, 1))
-    scored = sc.score_with_coefficients(rows, _one_feature_coefficients(spark, folder))
-    return rounded(scored.select("series_id", "date", "prediction"))
+    train = frames.complete_rows(spark, folder).where(F.col("split") == "train")
+    scored = sc.score_with_coefficients(good, ridge_fit(train, MAP_FEATURES, ALPHA))
+    return rounded(scored.select("series_id", "date", "prediction"), 2)
 
 
-SIMPLE_SQL = sql(
-    """SELECT c.series_id || '|' || strftime(c.date, '%Y-%m-%d') AS request_id, round(b0 + b1 * c.price_lag_1, 4) + 0.0 AS prediction
-    FROM lagroll c JOIN ridge1 USING (series_id) WHERE c.rn > 30 AND day(c.date) <> 13""",
-    "ridge1",
-)
+# A payload's own features: what its history gives in place of the table's returns and exponential mean.
+PAYLOAD = ALL.replace("CAST(price_return_1 ", "CAST(r1 ").replace("CAST(price_return_7 ", "CAST(r7 ").replace("CAST(ema_14 ", "CAST(e ")
+for plain, text in {
+    "change_pct": "COALESCE(change_pct, 0.0)", "day_of_week": "isodow(date) - 1", "day_of_month": "day(date)", "week_of_year": "week(date)",
+    "month": "month(date)", "quarter": "quarter(date)", "year": "year(date)",
+    "is_month_start": "CASE WHEN day(date) = 1 THEN 1 ELSE 0 END", "is_month_end": "CASE WHEN date = last_day(date) THEN 1 ELSE 0 END",
+}.items():
+    PAYLOAD = PAYLOAD.replace(f"CAST({plain} AS", f"CAST({text} AS")
+SCORED = f"""SELECT request_id, CASE WHEN day(date) <> 13 THEN round(b0 + list_dot_product(b, {PAYLOAD}), 2) + 0.0 END AS prediction,
+    CASE WHEN day(date) = 13 THEN 'date must be a day written as 2024-01-31' END AS reason
+    FROM (SELECT p.*, s.e FROM payloads p JOIN short_emas s ON s.series_id = p.series_id AND s.rn = p.rn) JOIN ridge_all USING (series_id)"""
 
 
-@query("score_simple_rows", SIMPLE_SQL)
+@query("score_simple_rows", sql(f"SELECT request_id, prediction FROM ({SCORED}) WHERE reason IS NULL", "payloads", "short_emas", "ridge_all"))
 def _score_simple_rows(spark, folder):
-    good, _ = sc.derive_simple(_requests(spark, folder), ONE)
-    scored = sc.score_with_coefficients(good.withColumn("x", F.array(*ONE)), _one_feature_coefficients(spark, folder))
-    return rounded(scored.select("request_id", "prediction"))
-
-
-STREAM_SQL = sql(
-    """SELECT c.series_id || '|' || strftime(c.date, '%Y-%m-%d') AS request_id,
-    CASE WHEN day(c.date) <> 13 THEN round(b0 + b1 * c.price_lag_1, 4) + 0.0 END AS prediction,
-    CASE WHEN day(c.date) = 13 THEN 'date must be a day written as 2024-01-31' END AS reason
-    FROM lagroll c JOIN ridge1 USING (series_id) WHERE c.rn > 30""",
-    "ridge1",
-)
+    names = feature_names()
+    good, _ = sc.derive_simple(_requests(spark, folder), names)
+    x = F.array(*[F.col(n).cast("double") for n in names])
+    scored = sc.score_with_coefficients(good.withColumn("x", x), _all_coefficients(spark, folder))
+    return rounded(scored.select("request_id", "prediction"), 2)
 
 
-@query("stream_score_simple", STREAM_SQL)
+@query("stream_score_simple", sql(SCORED, "payloads", "short_emas", "ridge_all"))
 def _stream_score_simple(spark, folder):
     """All requests written as files, scored by a stream and read back from its sink, refused ones with their reason."""
     base = f"{shared_dir(spark)}/pricecast/stream-{uuid.uuid4().hex}"
     _requests(spark, folder).select(*[f.name for f in REQUEST_SCHEMA]).write.parquet(f"{base}/in")
-    _one_feature_coefficients(spark, folder).write.parquet(f"{base}/coefficients")
+    _all_coefficients(spark, folder).write.parquet(f"{base}/coefficients")
     coefficients = spark.read.parquet(f"{base}/coefficients")
 
     def score(good):
-        scored = sc.score_with_coefficients(good.withColumn("x", F.array(*ONE)), coefficients)
+        x = F.array(*[F.col(n).cast("double") for n in feature_names()])
+        scored = sc.score_with_coefficients(good.withColumn("x", x), coefficients)
         return scored.select("request_id", "prediction", "reason")
 
-    stream = start_scoring(read_requests(spark, f"{base}/in"), ONE, score, f"{base}/out", f"{base}/state")
+    stream = start_scoring(read_requests(spark, f"{base}/in"), feature_names(), score, f"{base}/out", f"{base}/state")
     stream.awaitTermination()
-    return rounded(spark.read.schema("request_id string, prediction double, reason string").parquet(f"{base}/out"))
+    return rounded(spark.read.schema("request_id string, prediction double, reason string").parquet(f"{base}/out"), 2)
 
 
 @query(

@@ -128,6 +128,14 @@ def test_flat_series_falls_back(spark):
     assert {r.predicted for r in fc.ar_forecast(df, 2).collect()} == {5.0}
 
 
+def test_flat_series_stays_in_the_residual_panel(spark):
+    rows = [("f", i, 5.0, "train" if i < 40 else "test") for i in range(50)]
+    df = spark.createDataFrame(rows, "series_id string, i int, price double, split string")
+    df = df.withColumn("date", F.date_add(F.lit("2020-01-01").cast("date"), F.col("i"))).drop("i")
+    panel = fc.residual_panel(df, 2, 5)
+    assert panel.where("split = 'test'").count() == 10 and {r.ar for r in panel.collect()} == {5.0}
+
+
 def test_damped_trend(split, prices):
     y = arrays(prices)
     grid = fc.damped_grid(4, 3, 2)
