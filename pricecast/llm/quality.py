@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricecast.llm.labelled import labelled_sample, logistic
-from pricecast.llm.text import chunks, mix, run_hashes
+from pricecast.llm.text import by_slices, chunks, mix, run_hashes
 from pricecast.session import materialise
 
 STATISTICS = (
@@ -93,9 +93,12 @@ def statistics_of(blobs: list[bytes | None]) -> np.ndarray:
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def _statistics(texts: pa.Array) -> pa.Array:
-    values = statistics_of(texts.to_pylist())
-    offsets = np.arange(len(values) + 1, dtype=np.int32) * len(STATISTICS)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
+    def rows(blobs: list) -> pa.Array:
+        values = statistics_of(blobs)
+        offsets = np.arange(len(values) + 1, dtype=np.int32) * len(STATISTICS)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
+
+    return by_slices(texts, rows)
 
 
 def with_statistics(df: DataFrame, text_col: str = "text", out: str = "_stats") -> DataFrame:

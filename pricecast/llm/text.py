@@ -6,11 +6,13 @@ over the hashes of words), finished by a mixing step, so the hash of any run com
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18  # the work arrays of a chunk take some tens of bytes for each of its bytes
+SLICE_ROWS = 512
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -93,3 +95,9 @@ def chunks(blobs: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[Chun
         size += len(b) + 1
     if held:
         yield Chunk(first, held)
+
+
+def by_slices(column: pa.Array, fn: Callable[[list], pa.Array]) -> pa.Array:
+    """fn over slices of a column, so that few rows at a time are Python objects."""
+    parts = [fn(column.slice(at, SLICE_ROWS).to_pylist()) for at in range(0, max(1, len(column)), SLICE_ROWS)]
+    return pa.concat_arrays(parts)

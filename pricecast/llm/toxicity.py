@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricecast.llm.labelled import labelled_sample, logistic
+from pricecast.llm.text import by_slices
 from pricecast.session import materialise
 
 # Words of abuse by theme.
@@ -196,7 +197,7 @@ def with_counts(df: DataFrame, voters: Voters, text_col: str = "text", out: str
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def hits(texts: pa.Array) -> pa.Array:
-        return pa.array([voters.counts(t or "") for t in texts.to_pylist()], type=pa.list_(pa.int32()))
+        return by_slices(texts, lambda rows: pa.array([voters.counts(t or "") for t in rows], type=pa.list_(pa.int32())))
 
     return df.withColumn(out, hits(F.col(text_col)))
 
