@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricecast.llm.text import by_slices
+
 NONE = np.int64(1) << 62
 ROWS_AT_ONCE = 1 << 19  # leaves in the trees that are merged side by side
-CACHED = 1 << 18  # pieces whose ids a Python worker keeps
+CACHED = 1 << 18  # pieces in each of the two generations whose ids a Python worker keeps
 GROUP = 1 << 20  # characters whose pieces are looked up together
 BLOCK = 1 << 16  # pieces of one text handled at a time
 
@@ -48,6 +50,7 @@ class Encoder:
         self.pair_ranks = np.append(np.fromiter(pairs.values(), dtype=np.int64, count=len(pairs))[order], 0)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _leaves(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Leaf values of the pairs (left, right) that start at the given positions."""
@@ -55,8 +58,8 @@ class Encoder:
         i = np.searchsorted(self.pair_keys, key)
         return np.where(self.pair_keys[i] == key, self.pair_ranks[i] << 32 | at, NONE)
 
-    def _merge(self, pieces: list[bytes], leaves: int) -> list[np.ndarray]:
-        """Ids of pieces of at most ``leaves`` bytes, a power of two."""
+    def _merge(self, pieces: list[bytes], leaves: int) -> list[bytes]:
+        """Ids of pieces of at most ``leaves`` bytes, a power of two, four bytes each."""
         n, span = len(pieces), 2 * leaves
         sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=n)
         position = np.arange(leaves)
@@ -99,8 +102,10 @@ class Encoder:
                     tree[base + node] = np.minimum(tree[base + 2 * node], tree[base + 2 * node + 1])
                     node >>= 1
             rows = rows[tree[top + 1] < NONE]
-        symbol = symbol.reshape(n, leaves)
-        return [row[row >= 0] for row in symbol]
+        live = symbol >= 0
+        flat = symbol[live].astype("<u4").tobytes()
+        edges = np.append(0, 4 * np.cumsum(live.reshape(n, leaves).sum(axis=1))).tolist()
+        return [flat[a:b] for a, b in zip(edges, edges[1:])]
 
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of every piece as little-endian unsigned 32-bit integers; a piece that is a token is that token."""
@@ -117,7 +122,7 @@ class Encoder:
             for k in range(0, len(own), step):
                 part = own[k : k + step]
                 for i, ids in zip(part, self._merge([pieces[i] for i in part], leaves)):
-                    out[i] = ids.astype("<u4").tobytes()
+                    out[i] = ids
         return out
 
     def _blocks(self, text: str) -> Iterator[list[str]]:
@@ -129,15 +134,20 @@ class Encoder:
             yield block
 
     def _join(self, blocks: list[list[str]]) -> list[bytes]:
-        missing = set().union(*blocks) - self.cache.keys()
-        if len(self.cache) + len(missing) > CACHED:
-            self.cache.clear()
-            missing = set().union(*blocks)
-        fresh = list(missing)
+        wanted = set().union(*blocks)
+        if len(self.cache) + len(wanted) > CACHED:  # what the last generation did not meet again is forgotten
+            self.cache, self.older = {}, self.cache
+        missing = wanted - self.cache.keys()
+        again = missing & self.older.keys()
+        self.cache.update((p, self.older[p]) for p in again)
+        fresh = list(missing - again)
         self.cache.update(zip(fresh, self.encode_pieces([p.encode() for p in fresh])))
         get = self.cache.__getitem__
         return [b"".join(map(get, block)) for block in blocks]
 
+    def forget(self) -> None:
+        self.cache, self.older = {}, {}
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts, without special tokens; null is empty."""
         out: list[bytes] = []
@@ -188,10 +198,13 @@ class Tokenizer:
         """Adds the ids of the whole text (null: empty) as binary, each id four bytes, the least first."""
         tokens, pattern, mark = self._tokens, self._pattern, self._mark
 
-        def run(texts: pa.Array) -> pa.Array:
-            return pa.array(_encoder(tokens, pattern, mark).encode(texts.to_pylist()), type=pa.binary())
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            encoder = _encoder(tokens, pattern, mark)
+            for texts in batches:
+                yield by_slices(texts, lambda rows: pa.array(encoder.encode(rows), type=pa.binary()))
+            encoder.forget()  # a worker lives on after its task
 
-        run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+        run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
         return df.withColumn(out, F.arrow_udf(run, T.BinaryType())(F.col(text_col)))
 
     def decode(self, df: DataFrame, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -200,7 +213,7 @@ class Tokenizer:
 
         def run(ids: pa.Array) -> pa.Array:
             decode = _encoder(tokens, pattern, mark).decode
-            return pa.array([decode(x or b"") for x in ids.to_pylist()], type=pa.binary())
+            return by_slices(ids, lambda rows: pa.array([decode(x or b"") for x in rows], type=pa.binary()))
 
         run.__annotations__ = {"ids": pa.Array, "return": pa.Array}
         return df.withColumn(out, F.arrow_udf(run, T.BinaryType())(F.col(ids_col)))
