@@ -58,12 +58,17 @@ def fit_posterior(labelled: DataFrame, domain_col: str, domains: Sequence[str])
     return [e / reduce(lambda a, b: a + b, raised) for e in raised]
 
 
-def with_posteriors(docs: DataFrame, labelled_ids: DataFrame, domains: Sequence[str], domain_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
-    """Adds _n (words) and _p (array of posteriors in the order of ``domains``); learns from rows whose id is labelled."""
-    some = docs.select(F.col(id_col).alias("_id"), F.col(domain_col).alias("_d"), "text")
-    some = with_groups(some.join(labelled_ids.select(F.col(id_col).alias("_id")).distinct(), "_id", "left_semi"))
-    posterior = fit_posterior(some.select("_d", "_g"), "_d", domains)
-    return with_groups(docs).withColumn("_p", F.array(*posterior)).drop("_g")
+def with_posteriors(docs: DataFrame, labelled_ids: DataFrame, domains: Sequence[str], domain_col: str = "lang", id_col: str = "doc_id", keep: Sequence[str] = ()) -> DataFrame:
+    """Columns ``keep``, the id, _n (words) and _p (array of posteriors in the order of ``domains``).
+
+    Learns from rows whose id is labelled. Counts of letter groups are made once and written to the shared folder;
+    the labelled rows are picked from those, so no text is shuffled.
+    """
+    columns = list(dict.fromkeys((*keep, id_col, domain_col)))
+    ready = materialise(with_groups(docs).select(*columns, "_n", "_g"), "groups")
+    ids = labelled_ids.select(F.col(id_col).alias("_id")).distinct()
+    some = ready.select(F.col(id_col).alias("_id"), F.col(domain_col).alias("_d"), "_g").join(ids, "_id", "left_semi")
+    return ready.select(*dict.fromkeys((*keep, id_col)), "_n", F.array(*fit_posterior(some, "_d", domains)).alias("_p"))
 
 
 def rate_column(steps: Sequence[Sequence[float]]) -> Column:
@@ -108,13 +113,11 @@ def fit_rates(docs: DataFrame, weights: Mapping[str, float], total: float | None
 def mix(docs: DataFrame, labelled_ids: DataFrame, weights: Mapping[str, float], total: float | None = None, domain_col: str = "lang") -> DataFrame:
     """Columns row (all columns of docs as a struct), n_tokens, share (posteriors in the order of ``weights``) and rate.
 
-    A null text has no tokens and the prior as its posterior. The frame with the posteriors is written once to the
-    shared folder, since every step reads it.
+    A null text has no tokens and the prior as its posterior.
     """
     packed = docs.select(F.struct(*docs.columns).alias("row"))
     packed = packed.select("row", *[F.col(f"row.{c}").alias(c) for c in ("doc_id", "text", domain_col)])
-    ready = with_posteriors(packed, labelled_ids, list(weights), domain_col).select("row", "_n", "_p")
-    ready = materialise(ready, "mixing")
+    ready = with_posteriors(packed, labelled_ids, list(weights), domain_col, keep=("row",))
     steps, _, _ = fit_rates(ready.select("_n", "_p"), weights, total)
     return ready.select("row", F.col("_n").cast("long").alias("n_tokens"), F.col("_p").alias("share"), rate_column(steps).alias("rate"))
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricecast.llm import bpe, hilbert, labelled, line_dedup, mixing, quality, simhash, substring_dedup, syncmers, toxicity, url_filter
-from pricecast.session import materialise
 from pricecast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,9 +100,7 @@ WEIGHTS = {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11}
 @_query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
-    # only what the query returns goes through the steps, not the texts
-    posterior = mixing.with_posteriors(docs, table(spark, folder, "labels"), list(WEIGHTS)).select("doc_id", "_n", "_p")
-    ready = materialise(posterior, "mixing")
+    ready = mixing.with_posteriors(docs, table(spark, folder, "labels"), list(WEIGHTS))
     steps, _, _ = mixing.fit_rates(ready, WEIGHTS)
     return ready.select(
         "doc_id",
