@@ -26,8 +26,8 @@ from pricecast.llm.text import by_slices
 
 NONE = np.int64(1) << 62
 ROWS_AT_ONCE = 1 << 19  # leaves in the trees that are merged side by side
-CACHED = 1 << 18  # pieces in each of the two generations whose ids a Python worker keeps
-GROUP = 1 << 20  # characters whose pieces are looked up together
+CACHED = 1 << 17  # pieces in each of the two generations whose ids a Python worker keeps
+GROUP = 1 << 19  # characters whose pieces are looked up together
 BLOCK = 1 << 16  # pieces of one text handled at a time
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricecast.llm.graph import components
-from pricecast.llm.text import chunks, mix, run_hashes
+from pricecast.llm.text import chunks, mix, rows_of, run_hashes
 from pricecast.session import materialise
 
 LOW = 0x5555555555555555  # the lower bit of every segment
@@ -58,7 +58,7 @@ def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t or b"", width) for t in batch.column(1).to_pylist()]
+            fps = [fingerprint(t or b"", width) for t in rows_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], ["id", "fp"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, "id long, fp long")
@@ -156,7 +156,7 @@ def _wide(batches: Iterator[pa.RecordBatch], width: int, words: int) -> Iterator
     turns = mix(np.arange(1, words + 1, dtype=np.uint64))
     for batch in batches:
         out = np.zeros((batch.num_rows, words), dtype=np.uint64)
-        for chunk in chunks([None if t is None else t.lower() for t in batch.column(1).to_pylist()]):
+        for chunk in chunks(t and t.lower() for t in rows_of(batch.column(1))):
             _, _, hashes, bounds = chunk.words()
             for k in range(len(chunk.blobs)):
                 own = hashes[bounds[k] : bounds[k + 1]]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricecast.llm.fm_index import FMIndex
-from pricecast.llm.text import Chunk, chunks, mix, run_hashes
+from pricecast.llm.text import Chunk, chunks, mix, rows_of, run_hashes
 from pricecast.session import materialise
 
 WINDOW = 50
@@ -66,7 +66,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         tags = batch.column(1).to_numpy(zero_copy_only=False)
-        for c in chunks(batch.column(2).to_pylist()):
+        for c in chunks(rows_of(batch.column(2))):
             (owner, _, _, value), *_ = _stretches(c)
             pair = np.unique(np.stack([owner.astype(np.uint64), value]), axis=1) if len(owner) else np.zeros((2, 0), np.uint64)
             rows = c.first + pair[0].astype(np.int64)
@@ -79,7 +79,7 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         tags = batch.column(1).to_numpy(zero_copy_only=False)
         repeated = batch.column(3).to_pylist()
-        for c in chunks(batch.column(2).to_pylist()):
+        for c in chunks(rows_of(batch.column(2))):
             (owner, first, size, value), starts, ends, bounds = _stretches(c)
             mine = [np.array(repeated[c.first + i], dtype=np.int64).view(np.uint64) for i in range(len(c.blobs))]
             lot = np.concatenate([mix(m ^ mix(np.uint64([i + 1]))) for i, m in enumerate(mine)])

@@ -6,7 +6,7 @@ over the hashes of words), finished by a mixing step, so the hash of any run com
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,7 +82,13 @@ class Chunk:
         return starts, ends, run_hashes(self.data, starts, ends, "byte"), bounds
 
 
-def chunks(blobs: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
+def rows_of(column: pa.Array) -> Iterator[bytes | None]:
+    """Values of a column, few of them Python objects at a time."""
+    for at in range(0, len(column), SLICE_ROWS):
+        yield from column.slice(at, SLICE_ROWS).to_pylist()
+
+
+def chunks(blobs: Iterable[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """Chunks of about ``limit`` bytes; a longer text is a chunk of its own. Null is the empty text."""
     held: list[bytes] = []
     size = first = 0
