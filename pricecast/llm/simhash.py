@@ -13,15 +13,18 @@ parity of the sum, so one of the two probes). The join in a cell keeps pairs by
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricecast.llm.graph import components
-from pricecast.llm.text import chunks, mix, rows_of, run_hashes
+from pricecast.llm.line_dedup import FILTER, _filter_of
+from pricecast.llm.text import Chunk, chunks, mix, rows_of, run_hashes
 from pricecast.session import materialise
 
 LOW = 0x5555555555555555  # the lower bit of every segment
@@ -146,56 +149,141 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-# Wider SimHash for a similarity threshold: several words of 64 bits, cells of 16 equal bits.
+# Near copies by the likeness of shingle sets: an exact set-similarity join, documents in place of lines.
 
-WORDS = 8
-CELL_BITS = 16
+RARITY = 1 << 20  # counters of shingles
 
 
-def _wide(batches: Iterator[pa.RecordBatch], width: int, words: int) -> Iterator[pa.RecordBatch]:
-    turns = mix(np.arange(1, words + 1, dtype=np.uint64))
-    for batch in batches:
-        out = np.zeros((batch.num_rows, words), dtype=np.uint64)
-        for chunk in chunks(t and t.lower() for t in rows_of(batch.column(1))):
-            _, _, hashes, bounds = chunk.words()
-            for k in range(len(chunk.blobs)):
-                own = hashes[bounds[k] : bounds[k + 1]]
-                if len(own):
-                    starts = np.arange(max(1, len(own) - width + 1))
-                    grams = run_hashes(own, starts, np.minimum(starts + width, len(own)), "word")
-                    out[chunk.first + k] = [_majority(mix(grams ^ t)) for t in turns]
-        lists = pa.FixedSizeListArray.from_arrays(pa.array(out.view(np.int64).ravel()), words).cast(pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "fp"])
+class Shingles:
+    """Distinct word shingles of every text of a chunk in the common order, the rarer first; none for a text without words."""
 
+    def __init__(self, c: Chunk, width: int, counts: np.ndarray | None = None):
+        _, _, hashes, bounds = c.words()
+        words = np.diff(bounds)
+        n = np.where(words > 0, np.maximum(1, words - width + 1), 0)
+        text = np.repeat(np.arange(len(n)), n)
+        starts = bounds[:-1][text] + np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+        grams = run_hashes(hashes, starts, np.minimum(starts + width, bounds[1:][text]), "word")
+        order = np.lexsort((grams, text) if counts is None else (grams, counts[rarity_cells(grams)], text))
+        text, grams = text[order], grams[order]
+        fresh = np.ones(len(text), dtype=bool)
+        fresh[1:] = (text[1:] != text[:-1]) | (grams[1:] != grams[:-1])
+        self.grams = grams[fresh]
+        self.size = np.bincount(text[fresh], minlength=len(n))
+        self.offset = np.cumsum(self.size) - self.size
+        total = np.zeros(len(self.grams) + 1, dtype=np.uint64)
+        np.cumsum(mix(self.grams ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=total[1:])
+        self.key = mix(total[self.offset + self.size] - total[self.offset] + self.size.astype(np.uint64)).view(np.int64)
 
-def similar_groups(keys: DataFrame, width: int = 5, similarity: float = 0.8, words: int = WORDS) -> DataFrame:
-    """Group of every row of (id, text): texts whose word shingles have a Jaccard likeness of ``similarity`` or more.
 
-    The likeness is read from the angle between ``words`` x 64 SimHash bits: sets of Jaccard j lie at the cosine
-    2j / (1 + j). Candidates agree on 16 bits of some block (popcounts of segments of one bit, radius 0); the first
-    word's distance and then all bits decide. Returns id, group_id (least id of the group); equal fingerprints are
-    one node. With 32 blocks a pair at 0.8 shares a cell with probability 0.91, at 0.9 with 0.998.
+def rarity_cells(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(44)).astype(np.int64)
+
+
+def _shingled(column: pa.Array, width: int, counts: np.ndarray | None = None) -> Iterator[tuple[Chunk, Shingles]]:
+    for c in chunks(t and t.lower() for t in rows_of(column)):
+        yield c, Shingles(c, width, counts)
+
+
+def _keys(width: int):
+    """Key of every row's set; equal sets have one key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [x.key for _, x in _shingled(batch.column(1), width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))], ["id", "key"])
+
+    return run
+
+
+def _count_shingles(width: int):
+    """Counters of one partition; those of one set only say nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(RARITY, dtype=np.int64)
+        for batch in batches:
+            for _, x in _shingled(batch.column(0), width):
+                total += np.bincount(rarity_cells(x.grams), minlength=RARITY)
+        at = np.flatnonzero(total > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
+
+    return run
+
+
+def _shingle_prefixes(width: int, num: int, den: int, counts: Broadcast):
+    """Prefix of every different set of a chunk: shingle, set, size and place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, x in _shingled(batch.column(0), width, counts.value):
+                _, at = np.unique(x.key, return_index=True)
+                at = at[x.size[at] > 0]
+                size = x.size[at]
+                take = size - (num * size + den - 1) // den + 1
+                place = np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
+                gram = x.grams[np.repeat(x.offset[at], take) + place].view(np.int64)
+                columns = (gram, np.repeat(x.key[at], take), np.repeat(size, take) << 32 | place)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "id", "sig"])
+
+    return run
+
+
+def _sets_of(width: int, asked: Broadcast):
+    """Shingles of the sets whose key passes the filter; a few others come along."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, x in _shingled(batch.column(0), width):
+                _, first = np.unique(x.key, return_index=True)
+                at = x.key[first] & (FILTER - 1)
+                hit = first[(asked.value[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)]
+                sets = [x.grams[o : o + n].view(np.int64) for o, n in zip(x.offset[hit], x.size[hit])]
+                yield pa.RecordBatch.from_arrays([pa.array(x.key[hit]), pa.array(sets, pa.list_(pa.int64()))], ["key", "grams"])
+
+    return run
+
+
+def similar_groups(keys: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Group of every row of (id, text): texts whose sets of word shingles have a Jaccard likeness of ``similarity`` or more.
+
+    Sets of that likeness share a shingle among the first few of each (the prefix) in any order common to all sets; the
+    rarer shingles come first, by counters of fixed size. Sets meet by prefix shingles, sizes and places rule most
+    meetings out and the shingles themselves (64-bit hashes) decide, so no pair is missed and none is linked below
+    ``similarity``. Returns id, group_id (least id of the group); equal sets are one node, as are texts without words.
     """
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    most = round(share * 64 * words)
-    coarse = round(64 * share + 3.5 * np.sqrt(64 * share * (1 - share)))
-    fps = materialise(
-        keys.select("id", F.col("text").cast("binary").alias("t")).mapInArrow(lambda b: _wide(b, width, words), "id long, fp array<long>"), "fingerprints"
-    )
-    nodes = materialise(fps.groupBy("fp").agg(F.min("id").alias("id")), "nodes")
-    blocks = [
-        (F.shiftrightunsigned(F.col("fp")[w], s).bitwiseAND(F.lit((1 << CELL_BITS) - 1)) + F.lit((w * 64 + s) << CELL_BITS)) for w in range(words) for s in range(0, 64, CELL_BITS)
-    ]
-    cells = nodes.select(F.explode(F.array(*blocks)).alias("cell"), "id", F.col("fp")[0].alias("sig"), F.lit(False).alias("probe"))
+    share = Fraction(similarity).limit_denominator(1000)
+    num, den = share.numerator, share.denominator
+    spark = keys.sparkSession
+    texts = keys.select(F.col("text").cast("binary").alias("t"))
+    known = materialise(keys.select("id", F.col("text").cast("binary").alias("t")).mapInArrow(_keys(width), "id long, key long"), "sets")
+    rows = texts.mapInArrow(_count_shingles(width), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # RARITY rows at most
+    counts = np.zeros(RARITY, dtype=np.int64)
+    counts[rows["cell"].to_numpy()] = rows["n"].to_numpy()
+    prefixes = texts.mapInArrow(_shingle_prefixes(width, num, den, spark.sparkContext.broadcast(counts)), "cell long, id long, sig long")
+    dealt = prefixes.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "cell").distinct()
+    met = dealt.withColumn("n", F.count("*").over(Window.partitionBy("cell"))).filter("n > 1")
+    cells = materialise(met.select("cell", "id", "sig", F.lit(False).alias("probe")), "cells")
+
+    def near(a: Column, b: Column) -> Column:
+        size_a, size_b = F.shiftright(a, 32), F.shiftright(b, 32)
+        after = F.least(size_a - a.bitwiseAND(F.lit(0xFFFFFFFF)), size_b - b.bitwiseAND(F.lit(0xFFFFFFFF)))
+        return (F.least(size_a, size_b) * den >= F.greatest(size_a, size_b) * num) & (after * (num + den) >= (size_a + size_b) * num)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        a, b = nodes.select(F.col("id").alias("a"), F.col("fp").alias("fa")), nodes.select(F.col("id").alias("b"), F.col("fp").alias("fb"))
-        apart = sum((F.bit_count(F.col("fa")[w].bitwiseXOR(F.col("fb")[w])) for w in range(words)), F.lit(0))
-        return pairs.join(a, "a").join(b, "b").filter(apart <= most).select("a", "b")
-
-    roots = materialise(link_in_cells(cells, within(coarse), verify), "roots")
-    table = materialise(nodes.join(roots, "id", "left").select("fp", F.coalesce("root", "id").alias("group_id")), "nodes")
-    return fps.join(table, "fp").select("id", "group_id")
+        pairs = materialise(pairs, "meetings")
+        asked = materialise(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked")
+        passing = spark.sparkContext.broadcast(_filter_of(asked))
+        sets = texts.mapInArrow(_sets_of(width, passing), "key long, grams array<long>").join(asked, "key", "left_semi")
+        sets = materialise(sets.groupBy("key").agg(F.first("grams").alias("grams")), "shingles")
+        a, b = (sets.select(F.col("key").alias(k), F.col("grams").alias(f"of_{k}")) for k in "ab")
+        shared = F.size(F.array_intersect("of_a", "of_b"))
+        return pairs.join(a, "a").join(b, "b").filter(shared * (num + den) >= (F.size("of_a") + F.size("of_b")) * num).select("a", "b")
+
+    roots = materialise(link_in_cells(cells, near, verify), "roots").withColumnRenamed("id", "key")
+    nodes = known.groupBy("key").agg(F.min("id").alias("least")).join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    nodes = materialise(nodes, "nodes")
+    table = materialise(nodes.join(nodes.groupBy("root").agg(F.min("least").alias("group_id")), "root").select("key", "group_id"), "nodes")
+    return known.join(table, "key").select("id", "group_id")
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:

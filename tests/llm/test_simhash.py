@@ -69,3 +69,40 @@ def test_keep_one_drops_near_copies_and_keeps_the_rest(spark, odd):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns and 0 < kept.count() < odd.count()
     assert simhash.keep_one(odd.filter("1 = 0")).count() == 0
+
+
+def test_groups_are_those_of_exact_shingle_likeness(spark):
+    import random
+
+    r = random.Random(8)
+    say = lambda n: [f"t{r.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for k in range(120):  # each changed word costs five shingles: likenesses around 0.8
+        base = say(r.randrange(90, 400))
+        n = len(base) - 4
+        near = list(base)
+        for at in r.sample(range(0, len(base) // 6), round(n * r.uniform(0.10, 0.13) / 5)):
+            near[6 * at] = f"new{at}"
+        texts += [" ".join(base), " ".join(near)]
+    phrase = " ".join(say(12))
+    texts += [f"{phrase} " * 80 + " ".join(say(60)) for _ in range(4)]  # alike only where repeats count
+    texts += ["a b", "A  b", "", None, " ".join(["same"] * 50), " ".join(["same"] * 90)]
+
+    def shingles(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    levels = []
+    for i, x in enumerate(sets):
+        for j in range(i):
+            y = sets[j]
+            if x == y or 5 * len(x & y) >= 4 * len(x | y):
+                root = [root[j] if g == root[i] else g for g in root] if root[j] < root[i] else [root[i] if g == root[j] else g for g in root]
+            if x & y:
+                levels.append(len(x & y) / len(x | y))
+    assert sum(0.75 < v < 0.8 for v in levels) > 10 < sum(0.8 <= v < 0.85 for v in levels)
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {x.id: x.group_id for x in simhash.similar_groups(docs).collect()}
+    assert got == dict(enumerate(root))
