@@ -2,13 +2,15 @@
 
 A run of K bytes is an anchor when the least hash among its inner runs of S bytes stands at its first or last place.
 Whether a run is an anchor depends on its own bytes alone, so the same passage gives the same anchors in any text. The
-fingerprint holds the SKETCH anchors of least hash, each with the place where it first occurs; likeness matches hashes
-of two fingerprints and counts those whose places differ by one common shift.
+fingerprint holds the anchors whose hash is below a fixed threshold, one in RATE, and at least the SKETCH of least hash,
+each with the place where it first occurs; it grows with the text. Likeness matches hashes of two fingerprints and counts
+those that keep their order, in groups of like shift: a passage put in or taken out starts a new group.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +23,11 @@ from pricecast.llm.text import chunks, mix
 
 S = 4  # bytes of an inner run
 K = 3 * S  # bytes of an anchor
-SKETCH = 64  # anchors kept
-SLACK = 256  # bytes by which shifts of one match may differ
+SKETCH = 64  # anchors kept at least
+RATE = 16  # one anchor in so many is kept of a long text
+THRESHOLD = (1 << 32) // RATE
+SLACK = 256  # bytes by which neighbouring shifts of one group may differ
+SIZEABLE = 16  # a group counts that holds one in so many matches
 
 Print = tuple[np.ndarray, np.ndarray]  # hashes (ascending) and places
 
@@ -58,28 +63,46 @@ def sketches(blobs: list[bytes]) -> list[Print]:
                 continue
             short = (hashes[a:b] >> np.uint64(32)).astype(np.uint32)
             value, first = np.unique(short, return_index=True)
-            out.append((value[:SKETCH], at[a:b][first[:SKETCH]] - start))
+            keep = max(SKETCH, int(np.searchsorted(value, THRESHOLD)))
+            out.append((value[:keep], at[a:b][first[:keep]] - start))
     return out
 
 
+def _reach(hashes: np.ndarray) -> int:
+    """Greatest hash up to which a fingerprint holds all anchors of its text."""
+    return 0xFFFFFFFF if len(hashes) < SKETCH else max(int(hashes[-1]), THRESHOLD - 1)
+
+
+def _in_order(px: np.ndarray, py: np.ndarray) -> int:
+    """Matches of the longest chain that ascends in both texts, of the sizeable groups of shifts."""
+    shift = px - py
+    by_shift = np.argsort(shift, kind="stable")
+    group = np.empty(len(shift), dtype=np.int64)
+    group[by_shift] = np.append(0, np.cumsum(np.diff(shift[by_shift]) > SLACK))
+    fine = np.bincount(group)[group] * SIZEABLE >= len(shift)
+    ends: list[int] = []  # least last place of a chain of every length
+    for y in py[fine][np.argsort(px[fine])].tolist():
+        at = bisect_left(ends, y)
+        ends[at : at + 1] = [y]
+    return len(ends)
+
+
 def likeness(x: Print, y: Print) -> float:
-    """Twice the shared share over one plus it (Dice), shared anchors being those with the common shift.
+    """Twice the shared share over one plus it (Dice), shared anchors being those matched in order.
 
-    The share is taken over the least SKETCH hashes of both together. Two empty texts are alike (1), an empty and
-    another are not (0).
+    The share is taken over the hashes up to which both fingerprints hold all anchors. Two empty texts are alike (1), an
+    empty and another are not (0).
     """
     (hx, px), (hy, py) = x, y
     if not len(hx) or not len(hy):
         return float(len(hx) == len(hy))
+    reach = min(_reach(hx), _reach(hy))
     both, ix, iy = np.intersect1d(hx, hy, assume_unique=True, return_indices=True)
-    if not len(both):
-        return 0.0
-    union = np.union1d(hx, hy)[: max(len(hx), len(hy))]
-    kept = both <= union[-1]
-    shift = (px[ix] - py[iy])[kept]
-    if not len(shift):
+    m = int(np.searchsorted(both, reach, side="right"))
+    if not m:
         return 0.0
-    shared = int((np.abs(shift - np.median(shift)) <= SLACK).sum()) / len(union)
+    union = int(np.searchsorted(hx, reach, side="right") + np.searchsorted(hy, reach, side="right")) - m
+    shared = _in_order(px[ix[:m]], py[iy[:m]]) / union
     return 2 * shared / (1 + shared)
 
 

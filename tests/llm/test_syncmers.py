@@ -46,3 +46,30 @@ def test_one_row_and_none(spark, none):
     one = syncmers.against_edited_and_next(spark.createDataFrame([(4, "just one text that is its own next one")], "doc_id long, text string")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
     assert syncmers.against_edited_and_next(none).count() == 0
+
+
+def test_passages_put_in_leave_the_rest_alike():
+    r = np.random.default_rng(4)
+    say = lambda n: [f"w{x}" for x in r.integers(0, 3000, n)]
+    got = []
+    for _ in range(60):
+        base = say(600)
+        at = len(base) // 2
+        longer = base[:at] + say(90) + base[at:]
+        x, y, z = syncmers.sketches([" ".join(t).encode() for t in (base, longer, say(600))])
+        got.append(syncmers.likeness(x, y))
+        assert syncmers.likeness(x, x) == 1 and syncmers.likeness(x, z) < 0.15
+    assert min(got) > 0.75 and np.mean(got) > 0.88
+    turned = [say(300), say(300)]
+    x, y = syncmers.sketches([" ".join(turned[0] + turned[1]).encode(), " ".join(turned[1] + turned[0]).encode()])
+    assert 0.4 < syncmers.likeness(x, y) < 0.9  # one of the halves keeps its order
+
+
+def test_a_passage_shared_by_long_texts_is_seen():
+    r = np.random.default_rng(6)
+    say = lambda n: " ".join(f"w{x}" for x in r.integers(0, 10**6, n))
+    passage = say(1200)
+    x, y = syncmers.sketches([f"{say(9000)} {passage} {say(9000)}".encode(), f"{say(4000)} {passage} {say(14000)}".encode()])
+    shared = np.intersect1d(x[0], y[0])
+    assert len(x[0]) > 10 * syncmers.SKETCH and len(shared) > 30
+    assert syncmers.likeness(x, y) > 0.03
