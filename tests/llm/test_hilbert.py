@@ -45,3 +45,16 @@ def test_odd_vectors(spark):
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in hilbert.nearest(df).collect())
     assert got == [(0, 1, 20, 1.0), (0, 2, 1, 0.5), (20, 1, 0, 1.0), (20, 2, 1, 0.5)]
     assert hilbert.nearest(df.filter("1 = 0")).count() == 0
+
+
+def test_recall_with_the_registered_settings_at_two_sizes(spark):
+    r = np.random.default_rng(7)
+    for n, least in ((4_000, hilbert.WINDOW), (12_000, 40)):  # the second starts from windows far too short for the table
+        v = r.normal(size=(n, 24))
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+        got = {}
+        for x in hilbert.nearest(df, every=100, window=least).collect():
+            got.setdefault(x.query_id, set()).add(x.vec_id)
+        want = brute(np.arange(n), v, 20, 100)
+        assert set(got) == set(want)
+        assert np.mean([len({i for i, _ in w} & got[q]) / 20 for q, w in want.items()]) >= 0.9
