@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricecast.llm import bpe, hilbert, labelled, line_dedup, mixing, quality, simhash, substring_dedup, syncmers, toxicity, url_filter
+from pricecast.llm import bpe, hilbert, labelled, line_dedup, mixing, quality, simhash, substring_dedup, syncmers, token_counts, toxicity, url_filter
 from pricecast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,15 @@ def op3_substring(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op4_lines(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.by_document(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+#: Texts of more tokens are marked by op12_token_counts.
+TOKEN_LIMIT = 4096
+
+
+@_query
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    return counted.select("doc_id", n_bytes, "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
