@@ -2,13 +2,14 @@
 
 ``Searcher`` reads the texts once: every task keeps, of each document, its length and the asked terms in it, and the
 counts N, L and the document frequencies are added up. In a second pass every task inverts a shard of documents after
-the other. To each asked pair of terms belongs the list of the shard's documents that hold both, stored with the largest
-joint impact; the terms of a query stand in a chain by rising maximum, and its pairs are the neighbours in the chain.
+the other. The terms of a query stand in a chain by rising maximum, and its pairs are the neighbours in the chain. Before
+any query runs, the list of the shard's documents that hold both is made for every asked pair, and the largest and the
+20th largest joint impact of the list are stored.
 
 At query time the bound of the first i terms is the least sum over ways to take them singly, by their own maxima, or as
 neighbouring pairs, by the pair's maximum (of both, or of either alone). It is never above the sum of the single maxima.
 Terms whose bound stays below the score of the 20th document found so far open no candidates, and a candidate is dropped
-as soon as its score and the bound of what is left stay below.
+as soon as its score and the bound of what is left stay below. A pair's 20th joint impact is such a score from the start.
 """
 
 from __future__ import annotations
@@ -111,14 +112,17 @@ class Shard:
         held = np.flatnonzero(np.diff(self.starts))
         if len(held):
             self.most[held] = np.maximum.reduceat(self.impact, self.starts[held])
-        self.pairs: dict[tuple[int, int, int, int], int] = {}
+        self.pairs: dict[tuple[int, int, int, int], tuple[int, int]] = {}
 
     def postings(self, t: int) -> tuple[np.ndarray, np.ndarray]:
         a, b = self.starts[t], self.starts[t + 1]
         return self.doc[a:b], self.impact[a:b]
 
-    def index_pairs(self, chains: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """Largest joint impact over the documents that hold both, for the neighbours of every chain, each pair once."""
+    def index_pairs(self, chains: list[tuple[np.ndarray, np.ndarray]], top: int = TOP) -> None:
+        """Largest and top-th largest joint impact in the list of documents that hold both (0 where it is shorter).
+
+        Done once for every pair that stands side by side in a chain, before any query runs.
+        """
         wanted: dict[int, set[tuple[int, int, int]]] = {}
         for terms, repeats in chains:
             for a, b, ra, rb in zip(terms.tolist(), terms[1:].tolist(), repeats.tolist(), repeats[1:].tolist()):
@@ -131,7 +135,9 @@ class Shard:
                 docs_b, impact_b = self.postings(b)
                 mine = dense[docs_b]
                 both = mine >= 0
-                self.pairs[a, b, ra, rb] = int((ra * mine[both] + rb * impact_b[both]).max(initial=0))
+                joint = ra * mine[both] + rb * impact_b[both]
+                least = int(np.partition(joint, len(joint) - top)[len(joint) - top]) if len(joint) >= top else 0
+                self.pairs[a, b, ra, rb] = int(joint.max(initial=0)), least
             dense[docs] = -1
 
     def chain(self, terms: np.ndarray, repeats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,21 +147,26 @@ class Shard:
         order = np.lexsort((terms, self.most[terms] * repeats))
         return terms[order], repeats[order]
 
+    def _neighbours(self, terms: np.ndarray, repeats: np.ndarray) -> list[tuple[int, int]]:
+        t, r = terms.tolist(), repeats.tolist()
+        return [self.pairs[key] for key in zip(t, t[1:], r, r[1:])]
+
     def bounds(self, terms: np.ndarray, repeats: np.ndarray) -> np.ndarray:
         """Entry i: no document scores more on the first i terms of the chain."""
         single = (self.most[terms] * repeats).tolist()
+        joint = self._neighbours(terms, repeats)
         out = [0]
         for i, s in enumerate(single):
             best = out[i] + s
             if i:
-                key = (int(terms[i - 1]), int(terms[i]), int(repeats[i - 1]), int(repeats[i]))
-                best = min(best, out[i - 1] + max(self.pairs[key], single[i - 1], s))
+                best = min(best, out[i - 1] + max(joint[i - 1][0], single[i - 1], s))
             out.append(best)
         return np.array(out)
 
     def search(self, terms: np.ndarray, repeats: np.ndarray, floor: int, top: int) -> tuple[np.ndarray, np.ndarray]:
         """(documents, scores) among which are the ``top`` best of those that score at least ``floor`` (1 or more)."""
         bound = self.bounds(terms, repeats)
+        floor = max([floor, *(least for _, least in self._neighbours(terms, repeats))])  # so many documents reach it by a pair alone
         score = np.zeros(len(self.ids), dtype=np.int64)
         live = np.zeros(0, dtype=np.int64)
         opening = True
@@ -215,7 +226,7 @@ def _search(asked: Broadcast, counted: Broadcast, top: int):
         found = {q: (np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)) for q, _, _ in queries}
         for shard in shards(batches):
             chains = [shard.chain(t, r) for _, t, r in queries]
-            shard.index_pairs(chains)
+            shard.index_pairs(chains, top)
             for (q, _, _), (terms, repeats) in zip(queries, chains):
                 ids, missing, scores = found[q]
                 docs, own = shard.search(terms, repeats, int(scores[-1]) if len(scores) == top else 1, top)

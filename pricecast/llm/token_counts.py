@@ -90,6 +90,7 @@ class Counter:
         self.find = re.compile(f"[{re.escape(alone)}]| +[^{inside}]*|[^{inside}]+" if alone else " +[^ ]*|[^ ]+")
         self.cache: dict[str, int] = {}
         self.older: dict[str, int] = {}
+        self.merges: dict[int, tuple[int, int]] | None = None  # of the heap form, made when first needed
 
     def _fill(self, merges: dict[int, tuple[int, int]]) -> None:
         """Open hash table: a pair's key lies at most ``reach`` places after its hash."""
@@ -130,7 +131,10 @@ class Counter:
 
     def _one(self, symbols: list[int]) -> int:
         """Count for a single sequence, merged one pair after the other, the leftmost of the lowest rank first."""
-        table = {int(k): (int(r), int(m)) for k, r, m in zip(self.keys, self.rank, self.made) if k >= 0}
+        if self.merges is None:
+            held = np.flatnonzero(self.keys >= 0)
+            self.merges = dict(zip(self.keys[held].tolist(), zip(self.rank[held].tolist(), self.made[held].tolist())))
+        table = self.merges
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = []
