@@ -22,6 +22,8 @@ from pricecast.operators.evaluate import r2
 from pricecast.operators.gram import best_alpha, ridge_cv, ridge_fit, ridge_predict
 from pricecast.operators.layout import SERIES
 from pricecast.operators.splits import draw_params, fold_chunk
+from pricecast.operators.svr import fit_insensitive
+from pricecast.operators.trees import DrawnForest, ForestParams, grow_drawn_forest
 from pricecast.session import materialise
 from pricecast.sources.files import Bundle
 
@@ -60,15 +62,11 @@ def unscale(prediction: Column, target: str) -> Column:
 
 
 def learner(family: str, params: dict | None = None, seed: int = 42, label: str = "y"):
-    """MLlib estimator of a family.
-
-    ``min_samples_split`` has no counterpart and is left aside. ``extra_trees`` is an approximation: forests
-    without bootstrap and with drawn feature subsets, but with searched thresholds.
-    """
+    """MLlib estimator of a family; ``min_samples_split`` has no counterpart there and is left aside."""
     p = dict(params or {})
     subset = p.get("max_features", 1.0)
     shared = {"featuresCol": "features", "labelCol": label, "seed": seed, "maxBins": 256, "maxMemoryInMB": 512}
-    if family in ("random_forest", "extra_trees"):
+    if family == "random_forest":
         depth = p.get("max_depth")
         return RandomForestRegressor(
             **shared,
@@ -76,7 +74,6 @@ def learner(family: str, params: dict | None = None, seed: int = 42, label: str
             maxDepth=30 if depth is None else depth,
             minInstancesPerNode=p.get("min_samples_leaf", 1),
             featureSubsetStrategy="all" if subset == 1.0 else str(subset),
-            bootstrap=family == "random_forest",
         )
     if family == "gradient_boosting":
         return GBTRegressor(
@@ -90,7 +87,10 @@ def learner(family: str, params: dict | None = None, seed: int = 42, label: str
     raise ValueError(f"no learner is called {family!r}; there are ridge, random_forest, gradient_boosting and extra_trees")
 
 
-def fit_trees(train: DataFrame, features: list[str], family: str, params: dict | None = None, seed: int = 42, label: str = "y") -> PipelineModel:
+def fit_trees(train: DataFrame, features: list[str], family: str, params: dict | None = None, seed: int = 42, label: str = "y") -> PipelineModel | DrawnForest:
+    """A model with a ``transform`` that adds ``prediction``. Extra trees draw their thresholds, the others search them."""
+    if family == "extra_trees":
+        return grow_drawn_forest(train, features, label, ForestParams(**(params or {})), seed)
     assembler = VectorAssembler(inputCols=features, outputCol="features")
     return Pipeline(stages=[assembler, learner(family, params, seed, label)]).fit(train)
 
@@ -122,13 +122,13 @@ def tree_forecast(matrix: DataFrame, lags, family: str, params: dict, model_name
     return predictions_of(model, matrix.where(F.col("split") == "test"), model_name)
 
 
-def predictions_of(model: PipelineModel, rows: DataFrame, model_name: str) -> DataFrame:
+def predictions_of(model: PipelineModel | DrawnForest, rows: DataFrame, model_name: str) -> DataFrame:
     return model.transform(rows).select(
         "series_id", "date", F.lit(model_name).alias("model"), "actual", unscale(F.col("prediction"), "price").alias("predicted")
     )
 
 
-# Fixed parameters of the two tree forecasters.
+# Fixed parameters of the tree forecasters.
 FOREST_PARAMS = {"n_estimators": 400, "min_samples_leaf": 2}
 BOOSTING_PARAMS = {"n_estimators": 350, "learning_rate": 0.03, "max_depth": 4}
 
@@ -146,23 +146,20 @@ def kernel_features(x: Column, size: int, components: int, gamma: float, seed: i
     return F.transform(F.array(*waves), lambda w: F.lit(height) * F.cos(angle(w)))
 
 
-def kernel_forecast(split: DataFrame, lags, c: float = 10.0, components: int = 100, seed: int = 42, model_name: str = "svr_rbf") -> DataFrame:
-    """RBF kernel regression on standardised lags, one fit per series.
+def kernel_forecast(split: DataFrame, lags, c: float = 10.0, epsilon: float = 0.01, components: int = 100, seed: int = 42, model_name: str = "svr_rbf") -> DataFrame:
+    """Support-vector regression on standardised lags, one fit per series.
 
-    An approximation of support-vector regression: random features replace the kernel and squared error the
-    insensitive loss, so nothing needs all pairs of rows. ``gamma`` is one over the number of lags.
+    Errors up to ``epsilon``, in prices, cost nothing and larger ones ``c`` for each unit. Random features stand in for the
+    RBF kernel, so nothing needs all pairs of rows; ``gamma`` is one over the number of lags.
     """
     lagged = lag_matrix(split, lags, keep=("split",)).withColumn("actual", F.col("y"))
     names = [f"lag_{k}" for k in lags]
     train = F.col("split") == "train"
-    scaled = scale_by_series(lagged, ["y", *names], train)
-    scaled = scaled.withColumn("_x", F.array(*names))
-    scaled = scaled.withColumn("waves", kernel_features(F.col("_x"), len(names), components, 1.0 / len(names), seed))
-    fitted = ridge_fit(scaled.where(train), "waves", 1.0 / (2.0 * c), "y", standardise=False)
-    rows = ridge_predict(scaled.where(F.col("split") == "test"), fitted, "waves", "z")
-    return rows.select(
-        "series_id", "date", F.lit(model_name).alias("model"), "actual", unscale(F.col("z"), "y").alias("predicted")
-    )
+    scaled = scale_by_series(lagged, names, train).withColumn("_x", F.array(*names))
+    scaled = materialise(scaled.withColumn("waves", kernel_features(F.col("_x"), len(names), components, 1.0 / len(names), seed)), "waves")
+    fitted = fit_insensitive(scaled.where(train).select("series_id", F.col("waves").alias("x"), "y"), components, c, epsilon)
+    rows = ridge_predict(scaled.where(F.col("split") == "test"), fitted.select("series_id", "beta"), "waves", "predicted")
+    return rows.select("series_id", "date", F.lit(model_name).alias("model"), "actual", "predicted")
 
 
 def search_trees(train: DataFrame, features: list[str], family: str, n_iter: int, k: int, seed: int = 42, space: dict | None = None, parallelism: int = 4) -> tuple[dict, float]:

@@ -14,7 +14,7 @@ from pricecast.operators import forecast as fc
 from pricecast.operators import gram, ranking, regress, splits
 from pricecast.plans import frames
 from pricecast.plans.catalog import query, r, rounded
-from pricecast.plans.oracle import add_ridge, sql
+from pricecast.plans.oracle import CTES, RECURSIVE, add_differences, add_least_squares, add_ridge, add_smoothing, sql
 
 LAGS = ResearchConfig().lags
 SMALL_FOREST = {"n_estimators": 20, "max_depth": 8, "min_samples_leaf": 2}
@@ -255,7 +255,7 @@ def _gbt_forecast(spark, folder):
 @query("randomised_trees_forecast")
 def _randomised_trees_forecast(spark, folder):
     matrix = regress.scaled_lags(frames.split_bars(spark, folder), LAGS)
-    return rounded(regress.tree_forecast(matrix, LAGS, "extra_trees", {**SMALL_FOREST, "max_features": "sqrt"}, "extra_trees"))
+    return rounded(regress.tree_forecast(matrix, LAGS, "extra_trees", {**regress.FOREST_PARAMS, "max_features": "sqrt"}, "extra_trees"))
 
 
 @query("rff_kernel_forecast")
@@ -290,15 +290,51 @@ def _model_comparison(spark, folder):
     ),
 )
 def _ar1_diff_forecast(spark, folder):
-    return rounded(fc.ar_forecast(frames.split_bars(spark, folder), 1))
+    return rounded(fc.ar_forecast(frames.split_bars(spark, folder), 1).select(*fc.LONG))
 
 
-@query("ar5_diff_forecast")
+add_differences("diffs", fc.LONG_ORDER)
+add_least_squares("ar5", "diffs", [f"d_{k}" for k in range(1, 6)], "d")
+
+
+@query(
+    "ar5_diff_forecast",
+    sql(
+        """SELECT series_id, date, 'arima' AS model, price AS actual,
+        round(before + list_dot_product(b, [d_1, d_2, d_3, d_4, d_5]), 4) + 0.0 AS predicted, false AS fallback
+        FROM diffs JOIN ar5 USING (series_id) WHERE split = 'test'""",
+        "diffs", "ar5",
+    ),
+)
 def _ar5_diff_forecast(spark, folder):
     return rounded(fc.ar_forecast(frames.split_bars(spark, folder), 5))
 
 
-@query("arima_moving_average")
+_LONG = [f"d_{k}" for k in range(1, fc.LONG_ORDER + 1)]
+add_least_squares("long_ar", "diffs", _LONG, "d")
+CTES["shocks"] = (
+    ("diffs", "long_ar"),
+    f"""SELECT *, lag(shock) OVER (PARTITION BY series_id ORDER BY date) AS shock_1 FROM (SELECT d.*,
+    CASE WHEN d_{fc.LONG_ORDER} IS NOT NULL THEN d - list_dot_product(b, [{', '.join(_LONG)}]) END AS shock FROM diffs d JOIN long_ar USING (series_id))""",
+)
+add_least_squares("arma", "shocks", ["d_1", "shock_1"], "d")
+CTES["arma_run"] = (
+    ("diffs", "arma"),
+    """SELECT d.series_id, d.rn, d.date, d.split, d.price, d.d, d.d AS e FROM diffs d JOIN arma USING (series_id) WHERE rn = 2
+    UNION ALL SELECT x.series_id, x.rn, x.date, x.split, x.price, x.d, x.d - m.b[1] * p.d - m.b[2] * p.e
+    FROM arma_run p JOIN diffs x ON x.series_id = p.series_id AND x.rn = p.rn + 1 JOIN arma m ON m.series_id = p.series_id""",
+)
+RECURSIVE.add("arma_run")
+
+
+@query(
+    "arima_moving_average",
+    sql(
+        """SELECT series_id, date, 'arima' AS model, price AS actual, round(price - e, 4) + 0.0 AS predicted, false AS fallback
+        FROM arma_run WHERE split = 'test'""",
+        "arma_run",
+    ),
+)
 def _arima_moving_average(spark, folder):
     return rounded(fc.arima_forecast(frames.split_bars(spark, folder), (1, 1, 1)))
 
@@ -324,7 +360,36 @@ def _damped_trend_fixed(spark, folder):
     return rounded(fc.damped_trend_forecast(frames.split_bars(spark, folder), [(0.5, 0.1, 0.9)]))
 
 
-@query("damped_trend_grid")
+_A, _B, _P = fc.COARSE
+_LOW, _HIGH = fc.DAMPING
+CTES["coarse"] = (
+    ("rets",),
+    f"""SELECT series_id, CAST((i * {_B} + j) * {_P} + m AS BIGINT) AS no, (CAST(i AS DOUBLE) + 0.5) / {_A} AS alpha, (CAST(j AS DOUBLE) + 0.5) / {_B} AS beta,
+    CAST({_LOW} AS DOUBLE) + CAST({_HIGH - _LOW} AS DOUBLE) * m / {_P - 1} AS phi
+    FROM (SELECT DISTINCT series_id FROM rets) CROSS JOIN range({_A}) a(i) CROSS JOIN range({_B}) b(j) CROSS JOIN range({_P}) c(m)""",
+)
+add_smoothing("coarse_run", "coarse")
+_FA, _FB, _FP = fc.FINE
+CTES["fine"] = (
+    ("coarse_run",),
+    f"""SELECT series_id, {_A * _B * _P} + CAST((i * {_FB} + j) * {_FP} + m AS BIGINT) AS no,
+    alpha + CAST(1 AS DOUBLE) / {_A} * (i - {_FA // 2}) / {_FA} AS alpha, beta + CAST(1 AS DOUBLE) / {_B} * (j - {_FB // 2}) / {_FB} AS beta,
+    least({_HIGH}::DOUBLE, greatest({_LOW}::DOUBLE, phi + CAST({(_HIGH - _LOW) / (_P - 1)!r} AS DOUBLE) * (m - {_FP // 2}) / {_FP})) AS phi
+    FROM (SELECT * FROM coarse_run QUALIFY split = 'test' AND row_number() OVER (PARTITION BY series_id ORDER BY split = 'train', rn, sse, no) = 1)
+    CROSS JOIN range({_FA}) a(i) CROSS JOIN range({_FB}) b(j) CROSS JOIN range({_FP}) c(m)""",
+)
+add_smoothing("fine_run", "fine")
+
+
+@query(
+    "damped_trend_grid",
+    sql(
+        """SELECT series_id, date, 'holt_winters' AS model, price AS actual, round(ahead, 4) + 0.0 AS predicted
+        FROM (SELECT * FROM coarse_run UNION ALL SELECT * FROM fine_run) WHERE split = 'test'
+        QUALIFY row_number() OVER (PARTITION BY series_id, rn ORDER BY sse, no) = 1""",
+        "coarse_run", "fine_run",
+    ),
+)
 def _damped_trend_grid(spark, folder):
     return rounded(fc.damped_trend_forecast(frames.split_bars(spark, folder)))
 
@@ -349,21 +414,18 @@ def _hybrid_inverse_rmse(spark, folder):
     return rounded(out)
 
 
-SMALL_RESIDUAL = {"n_estimators": 10}
-
-
 @query("hybrid_residual")
 def _hybrid_residual(spark, folder):
-    out, _, _, _ = fc.hybrid_residual(frames.split_bars(spark, folder), params=SMALL_RESIDUAL)
+    out, _, _, _ = fc.hybrid_residual(frames.split_bars(spark, folder))
     return rounded(out)
 
 
 @query("loss_history")
 def _loss_history(spark, folder):
-    return fc.hybrid_residual(frames.split_bars(spark, folder), params=SMALL_RESIDUAL)[3]
+    return fc.hybrid_residual(frames.split_bars(spark, folder))[3]
 
 
 @query("residual_multi_step")
 def _residual_multi_step(spark, folder):
-    _, model, panel, _ = fc.hybrid_residual(frames.split_bars(spark, folder), params=SMALL_RESIDUAL)
+    _, model, panel, _ = fc.hybrid_residual(frames.split_bars(spark, folder))
     return rounded(fc.residual_steps(model, panel.where(F.col("split") == "test"), 3))

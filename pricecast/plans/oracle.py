@@ -222,6 +222,49 @@ def add_ridge(name: str, source: str, features: list[str], alpha: float) -> None
     RECURSIVE.add(f"{name}_steps")
 
 
+def add_least_squares(name: str, source: str, names: list[str], target: str) -> None:
+    """Adds ``name (series_id, b)``: least squares without a constant over complete train rows, by elimination on lists."""
+    p = len(names)
+    rows = ", ".join("[" + ", ".join([*(f"sum({a} * {b})" for b in names), f"sum({a} * {target})"]) + "]" for a in names)
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in [*names, target])
+    CTES[f"{name}_steps"] = (
+        (source,),
+        f"""SELECT series_id, 0 AS k, [{rows}] AS a FROM {source} WHERE split = 'train' AND {complete} GROUP BY series_id
+        UNION ALL SELECT series_id, k + 1, list_transform(a, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda x: x / a[k + 1][k + 1])
+        ELSE list_transform(r, lambda x, j: x - r[k + 1] * a[k + 1][j] / a[k + 1][k + 1]) END) FROM {name}_steps WHERE k < {p}""",
+    )
+    CTES[name] = ((f"{name}_steps",), f"SELECT series_id, list_transform(a, lambda r: r[{p + 1}]) AS b FROM {name}_steps WHERE k = {p}")
+    RECURSIVE.add(f"{name}_steps")
+
+
+def add_differences(name: str, lags: int) -> None:
+    """Adds ``name``: rows of ``rets`` with the price before, the difference ``d`` and its lags ``d_1`` ..."""
+    w = "OVER (PARTITION BY series_id ORDER BY date)"
+    more = ", ".join(f"lag(d, {k}) {w} AS d_{k}" for k in range(1, lags + 1))
+    CTES[name] = (
+        ("rets",),
+        f"""SELECT *, {more} FROM (SELECT series_id, date, price, split, rn, lag(price) {w} AS before, price - lag(price) {w} AS d FROM rets)""",
+    )
+
+
+def add_smoothing(name: str, points: str) -> None:
+    """Adds ``name``: the damped-trend recurrence of every row (series_id, no, alpha, beta, phi) of ``points``.
+
+    ``ahead`` is the forecast of the row, ``sse`` the squared error of all rows before it.
+    """
+    level, trend = "p.ahead + p.alpha * (p.price - p.ahead)", "p.phi * p.trend + p.alpha * p.beta * (p.price - p.ahead)"
+    CTES[name] = (
+        ("rets", points),
+        f"""SELECT g.series_id, g.no, g.alpha, g.beta, g.phi, b.rn, b.date, b.split, b.price, b.price - a.price AS trend,
+        a.price + g.phi * (b.price - a.price) AS ahead, CAST(0 AS DOUBLE) AS sse
+        FROM {points} g JOIN rets a ON a.series_id = g.series_id AND a.rn = 1 JOIN rets b ON b.series_id = g.series_id AND b.rn = 2
+        UNION ALL SELECT p.series_id, p.no, p.alpha, p.beta, p.phi, x.rn, x.date, x.split, x.price, {trend},
+        {level} + p.phi * ({trend}), p.sse + (p.price - p.ahead) * (p.price - p.ahead)
+        FROM {name} p JOIN rets x ON x.series_id = p.series_id AND x.rn = p.rn + 1""",
+    )
+    RECURSIVE.add(name)
+
+
 def sql(body: str, *needs: str) -> str:
     """``body`` behind the expressions it needs. Long ones are computed once."""
     order: list[str] = []

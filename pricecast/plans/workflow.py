@@ -102,7 +102,7 @@ def benchmark(spark: SparkSession, clean: DataFrame, out: str, cfg: ResearchConf
     weighted, weights = fc.hybrid_inverse_rmse(split, cfg.lags, cfg.ar_order[0], boosting, seed)
     corrected, _, _, history = fc.hybrid_residual(split, cfg, residual, seed)
     parts = [
-        fc.arima_forecast(split, cfg.ar_order),
+        fc.arima_forecast(split, cfg.ar_order).select(*fc.LONG),
         fc.damped_trend_forecast(split),
         regress.kernel_forecast(split, cfg.lags, seed=seed),
         regress.tree_forecast(matrix, cfg.lags, "random_forest", forest or regress.FOREST_PARAMS, "random_forest", seed),

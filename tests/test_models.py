@@ -149,7 +149,7 @@ def test_damped_trend(split, prices):
             level = al * y[t] + (1 - al) * ahead[i]
             new.append((level, be * (level - l) + (1 - be) * ph * b))
         states = new
-    np.testing.assert_allclose(by_series(fc.damped_trend_forecast(split, grid, chunks=3)), want[-N:], rtol=1e-10)
+    np.testing.assert_allclose(by_series(fc.damped_trend_forecast(split, grid)), want[-N:], rtol=1e-10)
 
 
 def test_trees_kernel_and_hybrids(split):
