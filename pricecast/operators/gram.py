@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricecast.operators.splits import fold_chunk
@@ -29,8 +29,9 @@ def gram(df: DataFrame, features: list[str] | str, target: str, keys: list[str])
     row = F.concat(x, F.array(F.col(target).cast("double")))
     narrow = df.select(*keys, *[c for c in ("date",) if c not in keys], row.alias("_z"))
     narrow = narrow.where(F.forall("_z", lambda v: v.isNotNull()))
-    first = F.first("_z").over(Window.partitionBy("series_id").orderBy("date"))
-    narrow = narrow.withColumn("_shift", first).drop(*[c for c in ("date",) if c not in keys])
+    # One row a series, found by an aggregate that combines in the tasks: the rows themselves are not sorted by series.
+    first = narrow.groupBy("series_id").agg(F.min_by("_z", "date").alias("_shift"))
+    narrow = narrow.drop(*[c for c in ("date",) if c not in keys]).join(first, "series_id")
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

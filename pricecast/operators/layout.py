@@ -43,36 +43,24 @@ class SeriesLayout:
 SERIES = SeriesLayout()
 
 
-def with_positions(df: DataFrame, order: tuple[str, ...], bucket: Column, group: int = 1024) -> DataFrame:
+def with_positions(df: DataFrame, order: tuple[str, ...], partitions: int | None = None) -> DataFrame:
     """Add ``_rn``, the 1-based position within the series, without ordering a whole series in one task.
 
-    ``bucket`` is an integer that does not decrease along ``order`` (for example the hour of a timestamp).
-    Rows are counted per bucket, the counts are summed up over groups of buckets and then within each group,
-    and a row's position is that sum plus its rank inside its own bucket.
+    Rows are cut into ranges of (series, order) by sampled bounds, so a series, or a single minute of it, is spread over
+    as many tasks as its rows fill. A position is the row's place in its own range plus the rows of the series in the
+    ranges before; only these counts, one for each range and series, are added up. Rows of a series with an equal order
+    come in any sequence, fixed by the first writing, and stay in one range: ``order`` should tell them apart.
     """
-    df = df.withColumn("_bucket", bucket.cast("long"))
-    counts = df.groupBy("series_id", "_bucket").agg(F.count("*").alias("_n"))
-    # Small beside the rows, and read twice below.
-    counts = materialise(counts.withColumn("_group", F.floor(F.col("_bucket") / group)), "counts")
-    groups = counts.groupBy("series_id", "_group").agg(F.sum("_n").alias("_gn"))
-    before_groups = Window.partitionBy("series_id").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.select(
-        "series_id", "_group", F.coalesce(F.sum("_gn").over(before_groups), F.lit(0)).alias("_goff")
-    )
-    before_buckets = Window.partitionBy("series_id", "_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counts.join(groups, ["series_id", "_group"])
-        .select(
-            "series_id", "_bucket",
-            (F.col("_goff") + F.coalesce(F.sum("_n").over(before_buckets), F.lit(0))).alias("_off"),
-        )
-    )
-    inside = Window.partitionBy("series_id", "_bucket").orderBy(*order)
-    return (
-        df.join(offsets, ["series_id", "_bucket"])
-        .withColumn("_rn", F.col("_off") + F.row_number().over(inside))
-        .drop("_bucket", "_off")
-    )
+    by = ["series_id", *order]
+    ranges = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    # The number holds the range in its upper and the place in the range in its lower 33 bits.
+    placed = materialise(ranges.sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id()), "ranges")
+    placed = placed.withColumn("_range", F.shiftright("_id", 33))
+    counts = placed.groupBy("series_id", "_range").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy("series_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("series_id", "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_off"))
+    numbered = placed.join(offsets, ["series_id", "_range"])
+    return numbered.withColumn("_rn", F.col("_off") + F.col("_id")).drop("_range", "_id", "_off")
 
 
 @dataclass(frozen=True)

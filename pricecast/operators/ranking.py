@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricecast.config import SelectionConfig
 from pricecast.operators.evaluate import safe_corr
 from pricecast.operators.features import existing_features
+from pricecast.operators.trees import ForestParams, grow_random_forest
 
 # Score of a feature that explains the target perfectly: the largest double.
 PERFECT = 1.7976931348623157e308
@@ -42,19 +40,10 @@ def f_regression(df: DataFrame, features: list[str], target: str = "price", keys
     return _scores_to_rows(wide, features, scores, list(keys))
 
 
-def forest_importance(df: DataFrame, features: list[str], target: str = "price", cfg: SelectionConfig = SelectionConfig(), max_depth: int = 30) -> DataFrame:
+def forest_importance(df: DataFrame, features: list[str], target: str = "price", cfg: SelectionConfig = SelectionConfig(), max_depth: int | None = None) -> DataFrame:
     """Impurity importance of a random forest over all rows given; names joined to scores by position."""
-    features = existing_features(df, features)
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol=target, numTrees=cfg.n_estimators, seed=cfg.random_state,
-        maxDepth=max_depth, featureSubsetStrategy="all",
-    )
-    model = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), forest]).fit(df)
-    weights = model.stages[-1].featureImportances.toArray().tolist()
-    spark = df.sparkSession
-    names = spark.createDataFrame(list(enumerate(features)), "position int, feature string")
-    scores = spark.createDataFrame([(weights,)], "w array<double>").select(F.posexplode("w").alias("position", "score"))
-    return names.join(scores, "position")
+    params = ForestParams(n_estimators=cfg.n_estimators, max_depth=max_depth)
+    return grow_random_forest(df, existing_features(df, features), target, params, cfg.random_state).importance()
 
 
 def rank(scores: DataFrame, keys=("series_id",)) -> DataFrame:

@@ -12,7 +12,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +23,7 @@ from pricecast.operators.gram import best_alpha, ridge_cv, ridge_fit, ridge_pred
 from pricecast.operators.layout import SERIES
 from pricecast.operators.splits import draw_params, fold_chunk
 from pricecast.operators.svr import fit_insensitive
-from pricecast.operators.trees import DrawnForest, ForestParams, grow_drawn_forest
+from pricecast.operators.trees import Forest, ForestParams, grow_drawn_forest, grow_random_forest
 from pricecast.session import materialise
 from pricecast.sources.files import Bundle
 
@@ -64,20 +64,9 @@ def unscale(prediction: Column, target: str) -> Column:
 def learner(family: str, params: dict | None = None, seed: int = 42, label: str = "y"):
     """MLlib estimator of a family; ``min_samples_split`` has no counterpart there and is left aside."""
     p = dict(params or {})
-    subset = p.get("max_features", 1.0)
-    shared = {"featuresCol": "features", "labelCol": label, "seed": seed, "maxBins": 256, "maxMemoryInMB": 512}
-    if family == "random_forest":
-        depth = p.get("max_depth")
-        return RandomForestRegressor(
-            **shared,
-            numTrees=p.get("n_estimators", 100),
-            maxDepth=30 if depth is None else depth,
-            minInstancesPerNode=p.get("min_samples_leaf", 1),
-            featureSubsetStrategy="all" if subset == 1.0 else str(subset),
-        )
     if family == "gradient_boosting":
         return GBTRegressor(
-            **shared,
+            featuresCol="features", labelCol=label, seed=seed, maxBins=256, maxMemoryInMB=512,
             maxIter=p.get("n_estimators", 100),
             stepSize=p.get("learning_rate", 0.1),
             maxDepth=p.get("max_depth", 3),
@@ -87,10 +76,11 @@ def learner(family: str, params: dict | None = None, seed: int = 42, label: str
     raise ValueError(f"no learner is called {family!r}; there are ridge, random_forest, gradient_boosting and extra_trees")
 
 
-def fit_trees(train: DataFrame, features: list[str], family: str, params: dict | None = None, seed: int = 42, label: str = "y") -> PipelineModel | DrawnForest:
+def fit_trees(train: DataFrame, features: list[str], family: str, params: dict | None = None, seed: int = 42, label: str = "y") -> PipelineModel | Forest:
     """A model with a ``transform`` that adds ``prediction``. Extra trees draw their thresholds, the others search them."""
-    if family == "extra_trees":
-        return grow_drawn_forest(train, features, label, ForestParams(**(params or {})), seed)
+    if family in ("random_forest", "extra_trees"):
+        grow = grow_random_forest if family == "random_forest" else grow_drawn_forest
+        return grow(train, features, label, ForestParams(**(params or {})), seed)
     assembler = VectorAssembler(inputCols=features, outputCol="features")
     return Pipeline(stages=[assembler, learner(family, params, seed, label)]).fit(train)
 
@@ -122,7 +112,7 @@ def tree_forecast(matrix: DataFrame, lags, family: str, params: dict, model_name
     return predictions_of(model, matrix.where(F.col("split") == "test"), model_name)
 
 
-def predictions_of(model: PipelineModel | DrawnForest, rows: DataFrame, model_name: str) -> DataFrame:
+def predictions_of(model: PipelineModel | Forest, rows: DataFrame, model_name: str) -> DataFrame:
     return model.transform(rows).select(
         "series_id", "date", F.lit(model_name).alias("model"), "actual", unscale(F.col("prediction"), "price").alias("predicted")
     )

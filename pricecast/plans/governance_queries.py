@@ -230,6 +230,21 @@ def _alias_view(spark, folder):
     return gov.current_aliases(gov.alias_events(_decided(spark, folder)))
 
 
+@query(
+    "lifecycle_stages",
+    sql(
+        """SELECT model_name, version, final_state AS lifecycle_stage,
+        CASE WHEN NOT testing_passed THEN 'failed_testing_gate' WHEN NOT staging_passed THEN 'failed_staging_gate' ELSE 'promoted_to_production' END AS lifecycle_status,
+        CASE WHEN NOT testing_passed THEN 'testing' WHEN NOT staging_passed THEN 'testing>staging>testing' ELSE 'testing>staging>production' END AS stages
+        FROM decided""",
+        "decided",
+    ),
+)
+def _lifecycle_stages(spark, folder):
+    """The stage of every version, folded from its events."""
+    return gov.current_stages(gov.stage_events(_decided(spark, folder))).withColumn("stages", F.array_join("stages", ">"))
+
+
 @query(
     "params_json",
     sql("""SELECT run_id, '{"series":"' || split_part(run_id, '-', 1) || '","year":"' || right(run_id, 4) || '"}' AS params_json FROM runs""", "runs"),

@@ -17,7 +17,6 @@ from pricecast.plans.catalog import query, r, rounded
 from pricecast.plans.oracle import CTES, RECURSIVE, add_differences, add_least_squares, add_ridge, add_smoothing, sql
 
 LAGS = ResearchConfig().lags
-SMALL_FOREST = {"n_estimators": 20, "max_depth": 8, "min_samples_leaf": 2}
 SMALL_BOOSTING = {"n_estimators": 15, "learning_rate": 0.1, "max_depth": 4}
 
 # fold i of k tests rows [n - (k-i)*ts, +ts) and trains on all rows before.
@@ -176,7 +175,7 @@ def _forest_importance(spark, folder):
     names = feature_names()
     train = F.col("split") == "train"
     scaled = regress.scale_by_series(table, ["price", *names], train).where(train)
-    scores = ranking.forest_importance(materialise(scaled, "importance"), names, cfg=SelectionConfig(n_estimators=20), max_depth=8)
+    scores = ranking.forest_importance(materialise(scaled, "importance"), names)
     return ranking.select_features(ranking.rank(scores, ()), keys=())
 
 
@@ -243,7 +242,7 @@ def _ridge_forecast(spark, folder):
 @query("forest_forecast")
 def _forest_forecast(spark, folder):
     matrix = regress.scaled_lags(frames.split_bars(spark, folder), LAGS)
-    return rounded(regress.tree_forecast(matrix, LAGS, "random_forest", SMALL_FOREST, "random_forest"))
+    return rounded(regress.tree_forecast(matrix, LAGS, "random_forest", regress.FOREST_PARAMS, "random_forest"))
 
 
 @query("gbt_forecast")

@@ -323,7 +323,7 @@ BLOCK = BlockLayout(size=256)
 
 
 def _tick_positions(spark, folder):
-    return with_positions(ticks(spark, folder), ("ts", "event_id"), F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
+    return with_positions(ticks(spark, folder), ("ts", "event_id"))
 
 
 @query("tick_positions", f"SELECT series_id, event_id, rn FROM ({TICKS})")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pricecast.config import SelectionConfig, feature_names
 from pricecast.functions.text import parse_history
+from pricecast.operators import governance as gov
 from pricecast.operators import ranking
 from pricecast.operators import score as sc
 from pricecast.operators.gram import ridge_fit
@@ -17,8 +18,9 @@ from pricecast.plans import frames
 from pricecast.plans.catalog import query, r, rounded
 from pricecast.plans.model_queries import ALL, ALPHA, ONE, _feature_split, _scores_sql
 from pricecast.plans.oracle import CTES, add_ridge, sql
-from pricecast.session import shared_dir
-from pricecast.streaming.scoring import REQUEST_SCHEMA, read_requests, start_scoring
+from pricecast.session import materialise, shared_dir
+from pricecast.sources.files import Bundle
+from pricecast.streaming.scoring import REQUEST_SCHEMA, read_requests, start_scoring, start_scoring_deployed
 
 MAP_FEATURES = ["price_lag_1", "open", "vol"]
 
@@ -226,6 +228,40 @@ def _stream_score_simple(spark, folder):
     return rounded(spark.read.schema("request_id string, prediction double, reason string").parquet(f"{base}/out"), 2)
 
 
+STIFF = 25.0  # penalty of the second version
+add_ridge("ridge_stiff", "feature_rows", feature_names(), STIFF)
+
+
+@query(
+    "stream_hot_swap",
+    sql(
+        " UNION ALL ".join(
+            f"""SELECT request_id, CASE WHEN day(date) <> 13 THEN round(b0 + list_dot_product(b, {PAYLOAD}), 2) + 0.0 END AS prediction,
+            CASE WHEN day(date) = 13 THEN 'date must be a day written as 2024-01-31' END AS reason, CAST({version} AS BIGINT) AS version
+            FROM (SELECT p.*, s.e FROM payloads p JOIN short_emas s ON s.series_id = p.series_id AND s.rn = p.rn) JOIN {model} USING (series_id)
+            WHERE {days}"""
+            for version, model, days in ((1, "ridge_all", "day(date) <= 15"), (2, "ridge_stiff", "day(date) > 15"))
+        ),
+        "payloads", "short_emas", "ridge_all", "ridge_stiff",
+    ),
+)
+def _stream_hot_swap(spark, folder):
+    """Requests of the first half of each month meet version 1; the second is deployed before those of the other half."""
+    base = f"{shared_dir(spark)}/pricecast/swap-{uuid.uuid4().hex}"
+    names = feature_names()
+    asked = materialise(_requests(spark, folder).select(*[f.name for f in REQUEST_SCHEMA]), "requests")
+    train = materialise(_feature_split(spark, folder).where(F.col("split") == "train"), "train")
+    positions = spark.createDataFrame(list(enumerate(names)), "position int, feature string")
+    late = F.substring("request_id", -2, 2).cast("int") > 15
+    for version, (alpha, half) in enumerate(((ALPHA, ~late), (STIFF, late)), 1):
+        decision = spark.createDataFrame([("price_model", version, "production", "passed_testing_and_staging")], "model_name string, version long, final_state string, reason string")
+        gov.deploy_version(decision, Bundle(ridge_fit(train, names, alpha), names), positions, f"{base}/deploy")
+        asked.where(half).write.mode("append").parquet(f"{base}/in")
+        stream = start_scoring_deployed(read_requests(spark, f"{base}/in"), f"{base}/deploy", "price_model", f"{base}/out", f"{base}/state")
+        stream.awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/out").select("request_id", "prediction", "reason", "version"), 2)
+
+
 @query(
     "pipeline_scores",
     sql(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricecast.config import RAW_COLUMNS, public_name
-from pricecast.operators.trees import DrawnForest
+from pricecast.operators.trees import Forest
 
 
 def require_columns(df: DataFrame, required: list[str] | tuple[str, ...]) -> DataFrame:
@@ -95,9 +95,9 @@ def load_model(path: str) -> PipelineModel:
 
 @dataclass
 class Bundle:
-    """A deployed model: coefficient table, or pipeline or drawn trees with the moments of its series, and the features in order."""
+    """A deployed model: coefficient table, or pipeline or forest with the moments of its series, and the features in order."""
 
-    model: PipelineModel | DataFrame | DrawnForest
+    model: PipelineModel | DataFrame | Forest
     features: list[str]
     moments: DataFrame | None = None
 
@@ -106,7 +106,7 @@ def save_bundle(bundle: Bundle, path: str, positions: DataFrame) -> None:
     """Write ``model``, ``features`` (rows position, feature) and ``moments``, where it has them, under a folder."""
     if isinstance(bundle.model, DataFrame):
         bundle.model.write.mode("overwrite").parquet(f"{path}/model")
-    elif isinstance(bundle.model, DrawnForest):
+    elif isinstance(bundle.model, Forest):
         bundle.model.nodes.write.mode("overwrite").parquet(f"{path}/model")
     else:
         save_model(bundle.model, f"{path}/model")
@@ -114,7 +114,7 @@ def save_bundle(bundle: Bundle, path: str, positions: DataFrame) -> None:
         bundle.moments.write.mode("overwrite").parquet(f"{path}/moments")
     positions.write.mode("overwrite").parquet(f"{path}/features")
     kind = "coefficients" if isinstance(bundle.model, DataFrame) else "pipeline" if bundle.moments is None else "scaled_pipeline"
-    kind = "drawn_trees" if isinstance(bundle.model, DrawnForest) else kind
+    kind = "forest" if isinstance(bundle.model, Forest) else kind
     positions.sparkSession.range(1).select(F.lit(kind).alias("kind")).coalesce(1).write.mode("overwrite").json(f"{path}/kind")
 
 
@@ -124,7 +124,7 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
     kind = spark.read.schema("kind string").json(f"{path}/kind").first().kind
     if kind == "coefficients":
         return Bundle(spark.read.parquet(f"{path}/model"), features)
-    if kind == "drawn_trees":
+    if kind == "forest":
         nodes = spark.read.parquet(f"{path}/model")
-        return Bundle(DrawnForest(nodes, features, nodes.agg(F.max("tree")).first()[0] + 1), features, spark.read.parquet(f"{path}/moments"))
+        return Bundle(Forest(nodes, features, nodes.agg(F.max("tree")).first()[0] + 1), features, spark.read.parquet(f"{path}/moments"))
     return Bundle(load_model(f"{path}/model"), features, spark.read.parquet(f"{path}/moments") if kind == "scaled_pipeline" else None)

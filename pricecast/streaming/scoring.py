@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pricecast.operators.score import derive_simple
+from pricecast.operators.governance import current_deployment
+from pricecast.operators.score import derive_simple, score_with_bundle
+from pricecast.sources.files import load_bundle
 
 REQUEST_SCHEMA = T.StructType(
     [
@@ -54,3 +56,25 @@ def start_scoring(requests: DataFrame, features: list[str], score: Callable[[Dat
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_scoring_deployed(requests: DataFrame, root: str, model_name: str, out: str, state: str) -> StreamingQuery:
+    """Score every micro-batch with the version deployed under ``root`` when the batch starts: ``request_id``,
+    ``prediction``, ``reason``, ``version``.
+
+    A version deployed while the stream runs is picked up by the next batch, without a restart. A batch writes a folder of
+    its own, anew if it is run again, so each request has exactly one result.
+    """
+
+    def score(batch: DataFrame, number: int) -> None:
+        version, path = current_deployment(batch.sparkSession, root, model_name)
+        bundle = load_bundle(batch.sparkSession, path)
+        good, bad = derive_simple(batch, bundle.features)
+        scored = score_with_bundle(good, bundle)
+        reason = F.col("reason") if "reason" in scored.columns else F.lit(None).cast("string")
+        scored = scored.select("request_id", F.col("prediction").cast("double").alias("prediction"), reason.alias("reason"))
+        refused = bad.select("request_id", F.lit(None).cast("double").alias("prediction"), "reason")
+        results = scored.unionByName(refused).withColumn("version", F.lit(version).cast("long"))
+        results.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return requests.writeStream.foreachBatch(score).option("checkpointLocation", state).trigger(availableNow=True).start()

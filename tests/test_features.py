@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricecast.config import FeatureConfig, feature_names, public_name
@@ -75,7 +76,7 @@ def long_panel(spark):
         seconds = np.sort(rng.integers(0, 40_000, n))
         parts.append(pd.DataFrame({"series_id": name, "sec": seconds, "tie": np.arange(n), "price": rng.normal(100, 5, n)}))
     pdf = pd.concat(parts, ignore_index=True)
-    df = with_positions(spark.createDataFrame(pdf), ("sec", "tie"), F.col("sec") / 60, group=16)
+    df = with_positions(spark.createDataFrame(pdf), ("sec", "tie"), 5)
     return pdf, df.cache()
 
 
@@ -117,3 +118,15 @@ def test_fill_over_blocks(long_panel):
     for name, rows in got.groupby("series_id"):
         p = pdf[pdf.series_id == name].price.reset_index(drop=True)
         np.testing.assert_allclose(rows.sort_values("_rn").price.to_numpy(float), p.where(p > 109).ffill().bfill())
+
+
+def test_positions_of_one_minute_are_spread(spark):
+    """All ticks of a hot series in one minute: every range gets a share, and positions run from 1 to n."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("series_id"), F.lit(60).alias("sec"), F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("tie"))
+    out = with_positions(df, ("sec", "tie"), 8).cache()
+    rows = out.groupBy("series_id").agg(F.count("*").alias("n"), F.min("_rn").alias("lo"), F.max("_rn").alias("hi"), F.count_distinct("_rn").alias("d")).collect()
+    assert {(r.series_id, r.n, r.lo, r.hi, r.d) for r in rows} == {("a", 18_000, 1, 18_000, 18_000), ("b", 2_000, 1, 2_000, 2_000)}
+    w = Window.partitionBy("series_id").orderBy("sec", "tie")
+    assert out.where(F.col("_rn") != F.lit(0)).withColumn("want", F.row_number().over(w)).where("want <> _rn").count() == 0
+    sizes = df.repartitionByRange(8, "series_id", "sec", "tie").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * 20_000 / 8

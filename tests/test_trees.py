@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricecast.operators import regress, splits
-from pricecast.operators.trees import DrawnForest, ForestParams, grow_drawn_forest, uniform
+from pricecast.operators.boost import cuts_of
+from pricecast.operators.trees import Forest, ForestParams, grow_drawn_forest, grow_random_forest, uniform, weights
 
 
 def rows_of(seed=1, n=700):
@@ -104,7 +105,7 @@ def test_missing_values_and_small_tables(spark):
     out = forest.transform(hole)
     assert out.where("prediction IS NULL").count() == 1 and out.where("i = 4 AND prediction IS NOT NULL").count() == 1
     alone = grow_drawn_forest(df.limit(1), NAMES, "y", ForestParams(2))
-    assert alone.nodes.count() == 2 and isinstance(alone, DrawnForest)
+    assert alone.nodes.count() == 2 and isinstance(alone, Forest)
     with pytest.raises(ValueError):
         grow_drawn_forest(df.limit(0), NAMES, "y", ForestParams(2))
     odd = grow_drawn_forest(df.withColumn("a", F.when(F.col("i") == 1, math.inf).otherwise(F.col("a"))), NAMES, "y", ForestParams(5))
@@ -119,3 +120,70 @@ def test_forecaster_and_search_use_drawn_trees(panel):
     train = split.where("split = 'train'").withColumn("lag", F.col("price") + 1).withColumn("actual", F.col("price"))
     params, score = regress.search_trees(train, ["lag", "open"], "extra_trees", 2, 2, space={"n_estimators": [5, 8], "max_depth": [4, None]})
     assert params["n_estimators"] in (5, 8) and score > 0
+
+
+def grow_searched(codes, y, w, tree, params, seed):
+    """A tree by recursion over single nodes, all cuts of all bins tried: {node: (feature, bin, value, weight, gain)}."""
+    p = codes.shape[1]
+    out = {}
+
+    def visit(node, rows):
+        c, ys, ws = codes[rows], y[rows], w[rows]
+        n, s = ws.sum(), (ws * ys).sum()
+        out[node] = (-1, None, s / n, n, 0.0)
+        if node.bit_length() > params.depth() or n < params.min_samples_split or n < 2 * params.min_samples_leaf or ys.min() == ys.max():
+            return
+        live = [f for f in range(p) if c[:, f].min() < c[:, f].max()]
+        live = sorted(sorted(live, key=lambda f: float(uniform(seed, tree, node, f, 1)))[: params.drawn(p)])
+        tried = []
+        for f in live:
+            for b in np.unique(c[:, f])[:-1]:
+                left = c[:, f] <= b
+                if min(ws[left].sum(), ws[~left].sum()) >= params.min_samples_leaf:
+                    tried.append(((ws * ys)[left].sum() ** 2 / ws[left].sum() + (ws * ys)[~left].sum() ** 2 / ws[~left].sum(), f, b, left))
+        if not tried:
+            return
+        best = {f: max(t[0] for t in tried if t[1] == f) for f in live if any(t[1] == f for t in tried)}
+        f = next(f for f in best if best[f] >= max(best.values()) * (1 - 1e-9))
+        gain, _, b, left = next(t for t in tried if t[1] == f and t[0] >= best[f] * (1 - 1e-9))
+        out[node] = (f, b, s / n, n, gain - s * s / n)
+        visit(2 * node, rows[left])
+        visit(2 * node + 1, rows[~left])
+
+    visit(1, np.flatnonzero(w > 0))
+    return out
+
+
+@pytest.mark.parametrize("params,local,bins", [(ForestParams(5, None, 2, 2, 1.0), 90, 16), (ForestParams(5, None, 4, 1, "sqrt"), 10_000, 256), (ForestParams(4, 4, 2, 3, 0.6), 1, 32)])
+def test_random_forest_equals_recursion(spark, params, local, bins):
+    x, y = rows_of()
+    df = frame(spark, x, y).coalesce(1).orderBy("i")
+    forest = grow_random_forest(df, NAMES, "y", params, 7, bins, local)
+    cuts = cuts_of(df.select(F.array(*NAMES).alias("x")), 5, bins)
+    codes = np.column_stack([np.searchsorted(c, x[:, f], side="left") for f, c in enumerate(cuts)])
+    got = {}
+    for r in forest.nodes.collect():
+        got.setdefault(r.tree, {})[r.node] = r
+    for t in range(params.n_estimators):
+        want = grow_searched(codes, y, weights(7, t, np.arange(len(y))), t, params, 7)  # one partition: keys are row numbers
+        assert set(got[t]) == set(want)
+        for k, (f, b, value, n, gain) in want.items():
+            r = got[t][k]
+            assert (r.feature, r.n) == (f, n) and abs(r.value - value) < 1e-9 and abs(r.gain - gain) < 1e-6
+            assert f < 0 or r.threshold == cuts[f][b]
+    share = {}
+    for t in got:
+        whole = sum(r.gain for r in got[t].values())
+        for r in got[t].values():
+            if r.feature >= 0:
+                share[r.feature] = share.get(r.feature, 0) + r.gain / whole / params.n_estimators
+    scores = {r.position: r.score for r in forest.importance().collect()}
+    assert len(scores) == 5 and scores[2] == 0.0
+    for f, v in share.items():
+        assert abs(scores[f] - v) < 1e-9
+
+
+def test_bootstrap_weights():
+    w = weights(1, 3, np.arange(20_000))
+    assert abs(w.mean() - 1) < 0.03 and abs(w.var() - 1) < 0.05 and abs((w == 0).mean() - np.exp(-1)) < 0.015
+    assert (weights(1, 3, np.arange(10)) != weights(1, 4, np.arange(10))).any()
