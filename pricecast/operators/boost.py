@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 
 from pricecast.session import materialise
 
+ROWS_A_TASK = 50_000  # a smaller table is one partition: its passes are many and short
+FEW_TASKS = 16  # the driver adds the sums of so many tasks itself; those of more are added up by Spark
 REWRITE = 16  # rounds between two writings of the residuals
 IMPROVES = 1e-6  # a lower validation error by less is no improvement: fixed value
 
@@ -208,12 +210,13 @@ def fit_boosting(train: DataFrame, features: str | list[str], label: str, params
 
     code.__annotations__ = {"values": pa.Array, "return": pa.Array}
     table = rows.select(F.arrow_udf(code, T.BinaryType())("x").alias("codes"), (F.col("y") - base).alias("residual"), "valid", "key")
-    table = materialise(table, "boost_binned")
+    tasks = max(1, rows.count() // ROWS_A_TASK)
+    table = materialise(table.coalesce(tasks), "boost_binned")
     model = BoostedTrees(float(base), params.learning_rate, [], features, p)
     recent: list[Tree] = []
     best = np.inf
     for number in range(1, params.n_estimators + 2):
-        tree, losses = _grow(table, p, bins, recent, params, seed + number, number > params.n_estimators)
+        tree, losses = _grow(table, p, bins, recent, params, seed + number, number > params.n_estimators, tasks <= FEW_TASKS)
         if number > 1:  # the losses are those of the rounds before
             train_loss, val_loss = losses
             model.history.append((number - 1, train_loss, val_loss))
@@ -246,15 +249,20 @@ def _rewritten(table: DataFrame, p: int, recent: list[Tree], rate: float) -> Dat
     return materialise(table.mapInArrow(run, table.schema), "boost_residuals")
 
 
-def _grow(table: DataFrame, p: int, bins: int, recent: list[Tree], params: BoostParams, seed: int, losses_only: bool) -> tuple[Tree, tuple[float, float]]:
+def _grow(table: DataFrame, p: int, bins: int, recent: list[Tree], params: BoostParams, seed: int, losses_only: bool, few_tasks: bool) -> tuple[Tree, tuple[float, float]]:
     """The next tree, and the mean squared errors before it (training's for both where nothing is held out)."""
     tree = Tree.leaf(params.max_depth, 0.0)
     opened = [1]
     losses = (np.nan, np.nan)
     for level in range(max(1, params.max_depth)):
         sums = table.mapInArrow(_sums(p, bins, recent, params.learning_rate, tree, opened, params.subsample, seed), "node int, v array<double>")
-        added = Summarizer.metrics("sum").summary(array_to_vector("v")).getField("sum")
-        found = {r["node"]: np.asarray(r["v"], float) for r in sums.groupBy("node").agg(vector_to_array(added).alias("v")).collect()}  # a row an open node
+        if not few_tasks:
+            added = Summarizer.metrics("sum").summary(array_to_vector("v")).getField("sum")
+            sums = sums.groupBy("node").agg(vector_to_array(added).alias("v"))  # a row an open node
+        found = dict.fromkeys(opened, 0.0)
+        for batch in sums.toArrow().to_batches():
+            for node, v in zip(batch.column("node").to_pylist(), batch.column("v")):
+                found[node] = found[node] + v.values.to_numpy()
         if level == 0:
             n, e, held_n, held_e = found[1][-4:]
             losses = (float(e / n), float(held_e / held_n) if held_n else float(e / n))

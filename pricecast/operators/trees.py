@@ -141,6 +141,14 @@ def weights(seed: int, tree: int, key: np.ndarray) -> np.ndarray:
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(20)])
 
 
+def _by_segment_and_code(segment: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Order of rows by segment, then code; short integers are sorted by their digits, which is several times faster."""
+    if segment[-1] >= 1 << 15:
+        return np.lexsort((code, segment))
+    by = np.argsort(code.astype(np.int16), kind="stable")
+    return by[np.argsort(segment.astype(np.int16)[by], kind="stable")]
+
+
 def finish_searched(codes: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, root: int, params: ForestParams, seed: int) -> dict[str, np.ndarray]:
     """All nodes of the subtree below ``root`` over its own rows, cuts searched among the codes of the bins.
 
@@ -166,7 +174,7 @@ def finish_searched(codes: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int,
         for f in range(p):
             if not (allowed[:, f] & inner).any():
                 continue
-            by = np.argsort(segment * 65536 + codes[:, f], kind="stable")
+            by = _by_segment_and_code(segment, codes[:, f])
             c, sums_w, sums_y = codes[by, f], np.cumsum(w[by]), np.cumsum((w * y)[by])
             n_left = sums_w - np.repeat(sums_w[starts] - w[by][starts], sizes)
             s_left = sums_y - np.repeat(sums_y[starts] - (w * y)[by][starts], sizes)

@@ -1,6 +1,6 @@
-"""Queries on splits, feature ranking, regressors and forecasters.
+"""Queries on splits, feature ranking, regressors and forecasters, at the library's sizes.
 
-Tree ensembles here are smaller than the library defaults, which hold the full sizes.
+``model_comparison`` alone searches small spaces of small ensembles.
 """
 
 from __future__ import annotations
@@ -8,16 +8,17 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pricecast.config import SEARCH_SPACES, ResearchConfig, SelectionConfig, feature_names
+from pricecast.config import SEARCH_SPACES, ExperimentConfig, ResearchConfig, SelectionConfig, feature_names
 from pricecast.functions.numeric import zscore
 from pricecast.operators import forecast as fc
+from pricecast.operators import governance as gov
 from pricecast.operators import gram, ranking, regress, splits
 from pricecast.plans import frames
 from pricecast.plans.catalog import query, r, rounded
-from pricecast.plans.oracle import CTES, RECURSIVE, add_differences, add_least_squares, add_ridge, add_smoothing, sql
+from pricecast.plans.oracle import CTES, RECURSIVE, add_differences, add_least_squares, add_ridge, add_ridge_search, add_smoothing, sql
+from pricecast.session import materialise
 
 LAGS = ResearchConfig().lags
-SMALL_BOOSTING = {"n_estimators": 15, "learning_rate": 0.1, "max_depth": 4}
 
 # fold i of k tests rows [n - (k-i)*ts, +ts) and trains on all rows before.
 FOLDS = """SELECT c.*, f.fold, CASE WHEN pos >= cn - (5 - f.fold) * (cn // 6) THEN 'test' ELSE 'train' END AS role FROM
@@ -169,8 +170,6 @@ def _top_ranked(spark, folder):
 
 @query("forest_importance")
 def _forest_importance(spark, folder):
-    from pricecast.session import materialise
-
     table = splits.holdout(frames.features(spark, folder), frames.TEST_SIZE)
     names = feature_names()
     train = F.col("split") == "train"
@@ -248,7 +247,7 @@ def _forest_forecast(spark, folder):
 @query("gbt_forecast")
 def _gbt_forecast(spark, folder):
     matrix = regress.scaled_lags(frames.split_bars(spark, folder), LAGS)
-    return rounded(regress.tree_forecast(matrix, LAGS, "gradient_boosting", SMALL_BOOSTING, "gradient_boosting"))
+    return rounded(regress.tree_forecast(matrix, LAGS, "gradient_boosting", regress.BOOSTING_PARAMS, "gradient_boosting"))
 
 
 @query("randomised_trees_forecast")
@@ -276,6 +275,34 @@ def _model_comparison(spark, folder):
     return rounded(board.withColumn("best_params", F.to_json("best_params")).orderBy("test_rmse"))
 
 
+SEARCH_FOLDS, SEARCH_DRAWS = ExperimentConfig().cv_splits, ExperimentConfig().n_iter_per_model
+PENALTIES = [d["alpha"] for d in splits.draw_params(SEARCH_SPACES["ridge"], SEARCH_DRAWS, ExperimentConfig().random_state)]
+add_ridge_search("ridge_search", "feature_rows", feature_names(), PENALTIES, SEARCH_FOLDS)
+
+
+@query(
+    "search_to_config",
+    sql(
+        f"""SELECT series_id AS key, CAST(2 AS BIGINT) AS run_ts, 'ridge' AS model_name, round(arg_min(alpha, (cv_rmse, alpha_no)), 10) + 0.0 AS alpha,
+        CAST({ALPHA} AS DOUBLE) AS old_alpha, round(min(cv_rmse), 3) + 0.0 AS cv_rmse, arg_min(alpha, (cv_rmse, alpha_no)) <> {ALPHA!r}::DOUBLE AS changed
+        FROM ridge_search GROUP BY series_id""",
+        "ridge_search",
+    ),
+)
+def _search_to_config(spark, folder):
+    """Drawn penalties searched on all features; the winner of each series joins the table of settings and changes the current ones."""
+    train = _feature_split(spark, folder).where(F.col("split") == "train")
+    best = gram.best_alpha(gram.ridge_cv(train, feature_names(), PENALTIES, SEARCH_FOLDS))
+    params = lambda c: F.create_map(F.lit("alpha"), c.cast("string"))
+    found = best.select(F.col("series_id").alias("key"), F.lit("ridge").alias("model_name"), params(F.col("alpha")).alias("params"), "cv_rmse")
+    found = materialise(gov.config_rows(found, F.lit(2).cast("long")), "found")
+    before = found.select("key", "model_name", params(F.lit(ALPHA)).alias("params"), F.lit(None).cast("double").alias("cv_rmse"))
+    configs = gov.config_rows(before, F.lit(1).cast("long")).unionByName(found)
+    current = gov.best_config(configs).join(found.select("key", "cv_rmse"), "key")
+    alpha = lambda c: F.from_json(c, "map<string,string>")["alpha"].cast("double")
+    return rounded(current.select("key", "run_ts", "model_name", F.round(alpha("params_json"), 10).alias("alpha"), alpha("old_params").alias("old_alpha"), "cv_rmse", "changed"), 10, cv_rmse=3, old_alpha=18)
+
+
 @query(
     "ar1_diff_forecast",
     sql(
@@ -409,7 +436,7 @@ def _inverse_rmse_blend(spark, folder):
 
 @query("hybrid_inverse_rmse")
 def _hybrid_inverse_rmse(spark, folder):
-    out, _ = fc.hybrid_inverse_rmse(frames.split_bars(spark, folder), LAGS, params=SMALL_BOOSTING)
+    out, _ = fc.hybrid_inverse_rmse(frames.split_bars(spark, folder), LAGS)
     return rounded(out)
 
 

@@ -222,6 +222,44 @@ def add_ridge(name: str, source: str, features: list[str], alpha: float) -> None
     RECURSIVE.add(f"{name}_steps")
 
 
+def add_ridge_search(name: str, source: str, features: list[str], alphas: list[float], k: int) -> None:
+    """Adds ``name (series_id, alpha_no, alpha, cv_rmse)``: ridge on standardised features by penalty, over k walk-forward folds."""
+    p = len(features)
+    cells = lambda f: ", ".join(f"{f}({c})" for c in features)
+    rows = ", ".join("[" + ", ".join(f"covar_pop({a}, {b})" for b in features) + "]" for a in features)
+    points = ", ".join(f"({i}, CAST({a!r} AS DOUBLE))" for i, a in enumerate(alphas))
+    CTES[f"{name}_folds"] = (
+        (source,),
+        f"""SELECT c.*, f.fold, CASE WHEN pos >= cn - ({k} - f.fold) * (cn // {k + 1}) THEN 'test' ELSE 'train' END AS role FROM
+        (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date) - 1 AS pos, count(*) OVER (PARTITION BY series_id) AS cn
+        FROM {source} WHERE split = 'train') c CROSS JOIN range({k}) f(fold) WHERE pos < cn - ({k} - f.fold) * (cn // {k + 1}) + (cn // {k + 1})""",
+    )
+    CTES[f"{name}_sums"] = (
+        (f"{name}_folds",),
+        f"""SELECT series_id, fold, CAST(count(*) AS DOUBLE) AS n, [{cells('avg')}] AS mx, avg(price) AS my,
+        list_transform([{cells('stddev_pop')}], lambda s: CASE WHEN s < 1e-12 THEN 0.0 ELSE 1.0 / s END) AS inv,
+        [{', '.join(f'covar_pop({c}, price)' for c in features)}] AS c, [{rows}] AS cc
+        FROM {name}_folds WHERE role = 'train' GROUP BY series_id, fold""",
+    )
+    CTES[f"{name}_steps"] = (
+        (f"{name}_sums",),
+        f"""SELECT series_id, fold, alpha_no, alpha, 0 AS k, list_transform(cc, lambda r, i: list_append(list_transform(r, lambda x, j:
+        n * x * inv[i] * inv[j] + CASE WHEN i = j THEN alpha ELSE 0.0 END), n * c[i] * inv[i])) AS a
+        FROM {name}_sums CROSS JOIN (VALUES {points}) t(alpha_no, alpha)
+        UNION ALL SELECT series_id, fold, alpha_no, alpha, k + 1, list_transform(a, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda x: x / a[k + 1][k + 1])
+        ELSE list_transform(r, lambda x, j: x - r[k + 1] * a[k + 1][j] / a[k + 1][k + 1]) END) FROM {name}_steps WHERE k < {p}""",
+    )
+    RECURSIVE.add(f"{name}_steps")
+    CTES[name] = (
+        (f"{name}_folds", f"{name}_sums", f"{name}_steps"),
+        f"""SELECT series_id, alpha_no, alpha, avg(rmse) AS cv_rmse FROM (
+        SELECT f.series_id, f.fold, b.alpha_no, b.alpha, sqrt(avg(pow(price - b0 - list_dot_product(b.b, [{', '.join(f'CAST({c} AS DOUBLE)' for c in features)}]), 2))) AS rmse
+        FROM {name}_folds f JOIN (SELECT *, my - list_dot_product(b, mx) AS b0 FROM (SELECT s.series_id, s.fold, alpha_no, alpha, my, mx,
+        list_transform(a, lambda r, i: r[{p + 1}] * inv[i]) AS b FROM {name}_steps s JOIN {name}_sums USING (series_id, fold) WHERE k = {p})) b
+        ON b.series_id = f.series_id AND b.fold = f.fold WHERE f.role = 'test' GROUP BY ALL) GROUP BY ALL""",
+    )
+
+
 def add_least_squares(name: str, source: str, names: list[str], target: str) -> None:
     """Adds ``name (series_id, b)``: least squares without a constant over complete train rows, by elimination on lists."""
     p = len(names)

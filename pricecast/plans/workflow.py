@@ -5,16 +5,21 @@ Stages meet at Parquet tables, so each can be rerun alone and a lost executor co
 
 from __future__ import annotations
 
+import ast
+import json
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricecast.config import CleaningConfig, FeatureConfig, GateConfig, ResearchConfig, SelectionConfig, TrainingConfig, feature_names
+from pricecast.config import CleaningConfig, ExperimentConfig, FeatureConfig, GateConfig, ResearchConfig, SelectionConfig, TrainingConfig, feature_names
 from pricecast.operators import evaluate as ev
 from pricecast.operators import forecast as fc
 from pricecast.operators import governance as gov
 from pricecast.operators import ranking, regress, splits
 from pricecast.operators.clean import clean_bars, cleaning_report
 from pricecast.operators.features import feature_table
+from pricecast.session import materialise
 from pricecast.sources import files
 
 
@@ -22,12 +27,16 @@ def build_model(
     spark: SparkSession, raw: DataFrame, out: str, model_name: str = "price_model",
     cleaning: CleaningConfig = CleaningConfig(), features: FeatureConfig = FeatureConfig(),
     selection: SelectionConfig = SelectionConfig(), training: TrainingConfig = TrainingConfig(), gates: GateConfig = GateConfig(),
+    configs: str | None = None,
 ) -> DataFrame:
     """Clean, featurise, select, train, register, gate and, if both gates pass, deploy under ``out``.
 
     Gates are judged by series and all must pass. Returns the lifecycle decision of the new version. Series too short for a hold-out are listed in
-    ``rejected``; it is an error when none is left.
+    ``rejected``; it is an error when none is left. With ``configs``, a table of settings that :func:`run_experiments`
+    wrote, family and parameters are its current ones for this model.
     """
+    if configs:
+        training = current_training(spark, configs, model_name, training)
     clean = _stage(spark, clean_bars(raw, cleaning), f"{out}/clean")
     files.write_report(cleaning_report(raw, clean), f"{out}/reports/cleaning")
 
@@ -67,6 +76,42 @@ def build_model(
     return decision
 
 
+def run_experiments(spark: SparkSession, table: DataFrame, features: list[str], configs: str, model_name: str = "price_model", cfg: ExperimentConfig = ExperimentConfig(), spaces: dict | None = None) -> DataFrame:
+    """Search every family on a split feature table and append the winner to the table of settings at ``configs``.
+
+    The winner has the least mean walk-forward error in units of each series' training deviation, so families and series
+    are comparable; no test row has a say. Returns the board: a row per family with its parameters and error.
+    """
+    report = regress.compare_models(table, features, cfg.models, cfg.n_iter_per_model, cfg.cv_splits, cfg.random_state, spaces)
+    spread = table.where(F.col("split") == "train").groupBy("series_id").agg(F.stddev_pop("price").alias("_sd"))
+    # Ridge reports prices for each series, the tree families one number in scaled units.
+    scaled = F.when(F.col("model_name") == "ridge", F.col("best_cv_rmse") / F.when(F.col("_sd") > 0, F.col("_sd"))).otherwise(F.col("best_cv_rmse"))
+    board = report.join(spread, "series_id").groupBy("model_name").agg(
+        F.avg(scaled).alias("cv_rmse"), F.min_by("best_params", F.struct(scaled, "series_id")).alias("params")
+    )
+    board = materialise(board, "board")
+    winner = board.orderBy("cv_rmse", "model_name").limit(1).withColumnRenamed("model_name", "family")
+    rows = winner.select(F.lit(model_name).alias("key"), F.col("family").alias("model_name"), "params", "cv_rmse")
+    gov.config_rows(rows, F.current_timestamp()).coalesce(1).write.mode("append").parquet(configs)
+    return board
+
+
+def current_training(spark: SparkSession, configs: str, model_name: str, training: TrainingConfig = TrainingConfig()) -> TrainingConfig:
+    """Training settings of a model by the current row of the table of settings; those given where it has none."""
+    row = gov.best_config(spark.read.parquet(configs)).where(F.col("key") == model_name).first()
+    if row is None:
+        return training
+    return replace(training, model_name=row["model_name"], fixed_params={k: _value(v) for k, v in json.loads(row["params_json"]).items()})
+
+
+def _value(text: str):
+    """A parameter from its text: a number, None or a word."""
+    try:
+        return ast.literal_eval(text)
+    except ValueError:
+        return text
+
+
 def _side_by_side(report: DataFrame, gate: DataFrame) -> DataFrame:
     """Training report and recomputed test metrics of each series."""
     renamed = gate.select("series_id", *[F.col(m).alias(f"staging_{m}") for m in ("rmse", "mae", "mape", "r2")])

@@ -51,8 +51,12 @@ def brute(x, y, held, cuts, params):
     return history, forecasts
 
 
-def test_equals_row_by_row_boosting(spark, monkeypatch):
+@pytest.mark.parametrize("few,rows", [(16, 50_000), (0, 100)])
+def test_equals_row_by_row_boosting(spark, monkeypatch, few, rows):
+    """Sums of few tasks are added by the driver, those of many by Spark."""
     monkeypatch.setattr(boost, "REWRITE", 4)
+    monkeypatch.setattr(boost, "FEW_TASKS", few)
+    monkeypatch.setattr(boost, "ROWS_A_TASK", rows)
     df, x, y, held = table(spark)
     params = BoostParams(n_estimators=10, learning_rate=0.3, max_depth=3, min_samples_leaf=4, max_bins=16)
     model = fit_boosting(df, ["a", "b", "c"], "y", params, validation="held")

@@ -248,3 +248,9 @@ def test_one_bad_series_blocks_production(spark):
     judged = gov.staging_gate(gov.testing_gate(gov.with_metric_defaults(df)))
     one = gov.lifecycle(gov.over_series(judged, ["family"])).first()
     assert one.n_series == 2 and not one.testing_passed and one.final_state == "testing" and one.test_r2 == -0.03
+
+
+def test_ridge_sums_need_no_window(table):
+    """Rows reach the sums of products without being sorted by series."""
+    plan = gram.gram(table, ["open", "price_lag_1"], "price", ["series_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "_shift" in plan and not any("Window" in line and "_z" in line for line in plan.splitlines())

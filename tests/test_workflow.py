@@ -1,8 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pricecast.config import GateConfig, ResearchConfig, SelectionConfig, TrainingConfig
-from pricecast.plans.workflow import benchmark, build_model
+from pricecast.config import ExperimentConfig, GateConfig, ResearchConfig, SelectionConfig, TrainingConfig
+from pricecast.operators import splits
+from pricecast.operators.features import feature_table
+from pricecast.plans.workflow import benchmark, build_model, current_training, run_experiments
 
 
 @pytest.fixture(scope="module")
@@ -33,3 +35,20 @@ def test_benchmark(spark, panel, tmp_path):
     assert len(board) == 2 * 7
     assert [r.rmse for r in board] == sorted(r.rmse for r in board)
     assert spark.read.json(f"{tmp_path}/summary").count() == 2
+
+
+def test_experiments_choose_what_is_trained(spark, panel, raw, tmp_path):
+    """Search, table of settings, training: the winner by walk-forward error is what the next model is built with."""
+    table = splits.holdout(feature_table(panel), 60).cache()
+    spaces = {"ridge": {"alpha": [0.001, 0.1, 50.0]}, "extra_trees": {"n_estimators": [3], "max_depth": [2], "max_features": ["sqrt"]}}
+    cfg = ExperimentConfig(models=("ridge", "extra_trees"), n_iter_per_model=3, cv_splits=2)
+    configs = str(tmp_path / "configs")
+    board = {r.model_name: r for r in run_experiments(spark, table, ["price_lag_1", "open", "price_roll_mean_7"], configs, "m", cfg, spaces).collect()}
+    assert set(board) == {"ridge", "extra_trees"} and board["ridge"].cv_rmse < board["extra_trees"].cv_rmse
+    chosen = current_training(spark, configs, "m")
+    assert chosen.model_name == "ridge" and chosen.fixed_params["alpha"] in spaces["ridge"]["alpha"]
+    assert current_training(spark, configs, "another", TrainingConfig(test_size=7)) == TrainingConfig(test_size=7)
+    settings = dict(selection=SelectionConfig(method="f_regression", top_k=3), training=TrainingConfig(model_name="random_forest", test_size=60), configs=configs)
+    build_model(spark, raw, str(tmp_path), "m", **settings)
+    report = spark.read.parquet(f"{tmp_path}/reports/training").collect()
+    assert {r.model_name for r in report} == {"ridge"} and {r.selection_mode for r in report} == {"fixed_params"}
