@@ -4,7 +4,7 @@ A run of K bytes is an anchor when the least hash among its inner runs of S byte
 Whether a run is an anchor depends on its own bytes alone, so the same passage gives the same anchors in any text. The
 fingerprint holds the anchors whose hash is below a fixed threshold, one in RATE, and at least the SKETCH of least hash,
 each with the place where it first occurs; it grows with the text. Likeness matches hashes of two fingerprints and counts
-those that keep their order, in groups of like shift: a passage put in or taken out starts a new group.
+the longest chain of them that keeps its order in both texts, across passages put in or taken out.
 """
 
 from __future__ import annotations
@@ -26,8 +26,6 @@ K = 3 * S  # bytes of an anchor
 SKETCH = 64  # anchors kept at least
 RATE = 16  # one anchor in so many is kept of a long text
 THRESHOLD = (1 << 32) // RATE
-SLACK = 256  # bytes by which neighbouring shifts of one group may differ
-SIZEABLE = 16  # a group counts that holds one in so many matches
 
 Print = tuple[np.ndarray, np.ndarray]  # hashes (ascending) and places
 
@@ -74,14 +72,9 @@ def _reach(hashes: np.ndarray) -> int:
 
 
 def _in_order(px: np.ndarray, py: np.ndarray) -> int:
-    """Matches of the longest chain that ascends in both texts, of the sizeable groups of shifts."""
-    shift = px - py
-    by_shift = np.argsort(shift, kind="stable")
-    group = np.empty(len(shift), dtype=np.int64)
-    group[by_shift] = np.append(0, np.cumsum(np.diff(shift[by_shift]) > SLACK))
-    fine = np.bincount(group)[group] * SIZEABLE >= len(shift)
+    """Matches of the longest chain that ascends in both texts, however often its shift changes on the way."""
     ends: list[int] = []  # least last place of a chain of every length
-    for y in py[fine][np.argsort(px[fine])].tolist():
+    for y in py[np.argsort(px)].tolist():
         at = bisect_left(ends, y)
         ends[at : at + 1] = [y]
     return len(ends)

@@ -1,6 +1,8 @@
 import hashlib
+import random
 
 import numpy as np
+import pytest
 from pricecast.llm import syncmers
 
 
@@ -73,3 +75,18 @@ def test_a_passage_shared_by_long_texts_is_seen():
     shared = np.intersect1d(x[0], y[0])
     assert len(x[0]) > 10 * syncmers.SKETCH and len(shared) > 30
     assert syncmers.likeness(x, y) > 0.03
+
+
+@pytest.mark.parametrize("n", [1, 5, 12, 18, 25, 40, 100])
+def test_likeness_of_texts_with_many_insertions(n):
+    """Passages of 400 words with 60 words put in after each: likeness stays near the shared words' share."""
+    r = random.Random(n)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(3, 9)))
+    passages = [[word() for _ in range(400)] for _ in range(n)]
+    plain = [w for p in passages for w in p]
+    longer = [w for p in passages for w in [*p, *(word() for _ in range(60))]]
+    a, b = syncmers.sketches([" ".join(plain).encode(), " ".join(longer).encode()])
+    overlap = 2 * len(plain) / (len(plain) + len(longer))
+    assert abs(syncmers.likeness(a, b) - overlap) < (0.05 if n > 1 else 0.12)
+    other = syncmers.sketches([" ".join(word() for _ in range(400 * n)).encode()])[0]
+    assert syncmers.likeness(a, other) < 0.05
