@@ -7,7 +7,7 @@ from pricecast.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
 # Tree searches take minutes; bench and the catalogue check run them.
-SLOW = {"model_comparison", "forest_importance", "hybrid_inverse_rmse", "randomised_trees_forecast", "loss_history", "residual_multi_step"}
+SLOW = {"model_comparison", "forest_importance", "hybrid_inverse_rmse", "residual_multi_step", "gbt_forecast"}
 
 
 @pytest.fixture(scope="module")
