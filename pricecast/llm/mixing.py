@@ -3,7 +3,7 @@
 A naive Bayes classifier over counts of letter groups is learned from labelled rows and gives every document a
 posterior over domains. Documents get nonnegative rates whose expected domain token totals,
 ``sum(rate x tokens x posterior)``, match the targets in the least-squares sense. Projected gradient steps touch the
-documents only through sums by domain, so a step is one aggregate and what travels is a few numbers.
+documents only through sums by domain and by pair of domains, so a step is one aggregate and what travels is a few numbers.
 """
 
 from __future__ import annotations
@@ -11,7 +11,9 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +23,10 @@ from pricecast.session import materialise
 GROUPS = ("[äöüßÄÖÜ]", "[éèêàçôûîÉÈÊÀÇ]", "[ñóíáúÑÓÍÁÚ]", "th|wh|Th|Wh", "sch|ung|eit|Sch", "eau|eux|oi", "ción|ue|os", "[wkyWKY]")
 TOKEN = r"[^\x20\x09-\x0D]+"
 STRENGTH = 60.0  # a text weighs like so many characters, so posteriors stay soft
-STEPS = 30
-ENOUGH = 1e-6  # largest relative miss at which the steps end
+PASSES = 100  # aggregates at most, or a few more; targets not met by then are reported as such
+HALVINGS = 30  # of a step, at most
+SOFT = 1e-11  # weight of the distance to 1 against the squared relative misses
+ENOUGH = 1e-6  # largest relative miss of targets that are met
 
 
 def with_groups(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -80,34 +84,73 @@ def rate_column(steps: Sequence[Sequence[float]]) -> Column:
     return F.aggregate(moves, F.lit(1.0), lambda w, g: F.greatest(F.lit(0.0), w - dot(g)))
 
 
-def fit_rates(docs: DataFrame, weights: Mapping[str, float], total: float | None = None) -> tuple[list[list[float]], list[float], list[float]]:
-    """Steps of projected gradient descent, the targets and the totals reached.
+class Rates(NamedTuple):
+    """Steps that lead to the rates, the targets, the totals reached, and whether these meet the targets."""
+
+    steps: list[list[float]]
+    targets: list[float]
+    reached: list[float]
+    converged: bool
+
+
+def fit_rates(docs: DataFrame, weights: Mapping[str, float], total: float | None = None) -> Rates:
+    """Rates of least squared miss, each miss against the domain's own total, and of these the ones nearest to 1.
 
     docs: columns _n and _p. Targets are the weights' shares of ``total`` expected tokens; without it, of the least
-    total at which no domain shrinks. The gradient is scaled by the domain's own total and by the document's tokens;
-    with sharp posteriors one step is exact, and soft ones need a few.
+    total at which no domain shrinks. All rates lie on the projection ``max(0, 1 - p . step)`` of one step with a number
+    a domain, whose gradient is the miss. The step is improved by the inverse of the domains' Gram matrix over documents
+    with a rate above 0, shortened until the objective falls: convex in a handful of numbers, so the sums of a few passes
+    settle it. ``converged`` is false where the targets are not met, as for a domain without tokens; the rates then come
+    as near as nonnegative rates can. Without documents all totals are 0 and count as met.
     """
     domains = list(weights)
+    k = len(domains)
     whole = sum(weights.values())
-
-    def totals(steps: list[list[float]]) -> list[float]:
-        mass = F.col("_n") * F.col("_w")
-        row = docs.withColumn("_w", rate_column(steps)).agg(*[F.sum(mass * F.col("_p")[j]) for j in range(len(domains))]).first()
-        return [float(x or 0.0) for x in row]
-
-    start = totals([])
+    docs = materialise(docs.select("_n", "_p"), "posteriors")
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def sums(step: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Totals by domain, the Gram matrix of the documents in use, and half their squared rates."""
+        rated = docs.withColumn("_w", rate_column([step.tolist()]))
+        mass, free = F.col("_n") * F.col("_w"), F.when(F.col("_w") > 0, F.col("_n")).otherwise(0.0)
+        totals = [F.sum(mass * F.col("_p")[j]) for j in range(k)]
+        row = rated.agg(*totals, *[F.sum(free * F.col("_p")[i] * F.col("_p")[j]) for i, j in pairs], F.sum(mass * F.col("_w")) / 2).first()
+        values = np.array([float(x or 0.0) for x in row])
+        gram = np.zeros((k, k))
+        for (i, j), v in zip(pairs, values[k:-1]):
+            gram[i, j] = gram[j, i] = v
+        return values[:k], gram, values[-1]
+
+    step = np.zeros(k)
+    reached, gram, half = sums(step)
+    if not reached.any():
+        return Rates([], [0.0] * k, [0.0] * k, True)
+    start = np.maximum(reached, 1e-9 * reached.max())
     if total is None:
-        total = max((c * whole / weights[d] for c, d in zip(start, domains) if weights[d] > 0), default=0.0)
-    targets = [total * weights[d] / whole for d in domains]
-    steps: list[list[float]] = []
-    reached = start
-    for _ in range(STEPS):
-        miss = [(a - t) / c if c > 0 else 0.0 for a, t, c in zip(reached, targets, start)]
-        if max(map(abs, miss), default=0.0) < ENOUGH:
+        total = max((c * whole / weights[d] for c, d in zip(reached, domains) if weights[d] > 0), default=0.0)
+    targets = np.array([total * weights[d] / whole for d in domains])
+    soft = SOFT * start  # bounds the step where the targets cannot be met
+    objective, passes, gains = half, 1, True
+    while gains and passes < PASSES:
+        slope = targets - reached + soft * step
+        if np.abs(slope / start).max() < 1e-10:
+            break
+        move = np.linalg.solve(gram + np.diag(soft), -slope)
+        share = 1.0
+        for _ in range(HALVINGS):
+            tried = step + share * move
+            its_reached, its_gram, half = sums(tried)
+            passes += 1
+            its_objective = half + targets @ tried + 0.5 * soft @ np.square(tried)
+            if its_objective <= objective + 1e-4 * share * slope @ move:
+                break
+            share /= 2
+        else:
             break
-        steps.append(miss)
-        reached = totals(steps)
-    return steps, targets, reached
+        gains = objective - its_objective > 1e-12 * abs(objective)
+        step, reached, gram, objective = tried, its_reached, its_gram, its_objective
+    met = bool(np.abs((reached - targets) / start).max() <= ENOUGH)
+    return Rates([step.tolist()], targets.tolist(), reached.tolist(), met)
 
 
 def mix(docs: DataFrame, labelled_ids: DataFrame, weights: Mapping[str, float], total: float | None = None, domain_col: str = "lang") -> DataFrame:
@@ -118,8 +161,8 @@ def mix(docs: DataFrame, labelled_ids: DataFrame, weights: Mapping[str, float],
     packed = docs.select(F.struct(*docs.columns).alias("row"))
     packed = packed.select("row", *[F.col(f"row.{c}").alias(c) for c in ("doc_id", "text", domain_col)])
     ready = with_posteriors(packed, labelled_ids, list(weights), domain_col, keep=("row",))
-    steps, _, _ = fit_rates(ready.select("_n", "_p"), weights, total)
-    return ready.select("row", F.col("_n").cast("long").alias("n_tokens"), F.col("_p").alias("share"), rate_column(steps).alias("rate"))
+    fitted = fit_rates(ready, weights, total)
+    return ready.select("row", F.col("_n").cast("long").alias("n_tokens"), F.col("_p").alias("share"), rate_column(fitted.steps).alias("rate"))
 
 
 def copies(rate: Column, *keys: Column) -> Column:

@@ -101,12 +101,13 @@ WEIGHTS = {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11}
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     ready = mixing.with_posteriors(docs, table(spark, folder, "labels"), list(WEIGHTS))
-    steps, _, _ = mixing.fit_rates(ready, WEIGHTS)
+    fitted = mixing.fit_rates(ready, WEIGHTS)
     return ready.select(
         "doc_id",
         F.col("_n").cast("long").alias("n_tokens"),
         *[F.col("_p")[j].alias(f"share_{d}") for j, d in enumerate(WEIGHTS)],
-        mixing.rate_column(steps).alias("rate"),
+        mixing.rate_column(fitted.steps).alias("rate"),
+        F.lit(fitted.converged).alias("converged"),
     )
 
 
