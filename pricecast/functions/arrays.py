@@ -60,4 +60,5 @@ def clamped_return(h: Column, back: int) -> Column:
 
 
 def has_bad_value(h: Column) -> Column:
-    return F.exists(h, lambda x: x.isNull() | F.isnan(x))
+    """Whether a value is missing, not a number or infinite."""
+    return F.exists(h, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))

@@ -88,3 +88,12 @@ def test_unknown_series_keep_their_request(spark):
     beta = spark.createDataFrame([("a", [1.0, 3.0])], "series_id string, beta array<double>")
     rows = {r.request_id: (r.prediction, r.reason) for r in sc.score_with_coefficients(good, beta).collect()}
     assert rows == {"1": (7.0, None), "2": (None, sc.NO_MODEL)}
+
+
+def test_infinite_prices_are_refused(spark):
+    inf = float("inf")
+    rows = [request(0, history=[1.0] * 29 + [inf]), request(1, history=[-inf] + [1.0] * 29), request(2, history=[1.0] * 30)]
+    df = spark.createDataFrame(rows, REQUEST_SCHEMA)
+    good, bad = sc.derive_simple(df, ["price_lag_30"])
+    assert [r.request_id for r in good.collect()] == ["2"]
+    assert {r.request_id for r in bad.collect()} == {"0", "1"} and {r.reason for r in bad.collect()} == {"price_history holds a missing or non-finite price"}
