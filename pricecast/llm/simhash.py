@@ -100,18 +100,29 @@ def within(bits: int) -> Callable[[Column, Column], Column]:
     return lambda a, b: (F.bit_count(unary_counts(a).bitwiseXOR(unary_counts(b))) <= bits) & (F.bit_count(a.bitwiseXOR(b)) <= bits)
 
 
-def link_in_cells(cells: DataFrame, close: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame] = lambda p: p) -> DataFrame:
+def link_in_cells(
+    cells: DataFrame, close: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame] = lambda p: p, linked: DataFrame | None = None
+) -> DataFrame:
     """Root of every id that has a link, where links are close pairs that share a cell.
 
     cells: (cell, id, sig, probe), a row with probe meets only the cell's own rows. First every row meets its cell's
     least id; what that links becomes one component. Then only pairs of different components meet, so a dense group
     of near copies costs about one pair a member, and none of its links is lost.
+
+    linked: (id, root) of links that are known; they count as links, and ids of one root do not meet.
     """
+    if linked is None:
+        cells = cells.withColumn("known", F.col("id"))
+    else:
+        cells = cells.join(linked.withColumnRenamed("root", "known"), "id", "left").withColumn("known", F.coalesce("known", "id"))
     own = cells.filter(~F.col("probe"))
-    head = own.groupBy("cell").agg(F.min(F.struct("id", "sig")).alias("head"))
+    head = own.groupBy("cell").agg(F.min(F.struct("id", "sig", "known")).alias("head"))
     tagged = materialise(cells.join(head, "cell"), "cells")
-    star = tagged.filter(F.col("id") != F.col("head.id")).filter(close(F.col("sig"), F.col("head.sig")))
-    star = materialise(verify(star.select(F.col("id").alias("a"), F.col("head.id").alias("b")).distinct()), "links")
+    star = tagged.filter(F.col("known") != F.col("head.known")).filter(close(F.col("sig"), F.col("head.sig")))
+    star = verify(star.select(F.col("id").alias("a"), F.col("head.id").alias("b")).distinct()).select("a", "b")
+    if linked is not None:
+        star = star.union(linked.select("id", "root"))
+    star = materialise(star, "links")
     first = components(star)
     named = materialise(
         tagged.select("cell", "id", "sig", "probe").join(first, "id", "left").withColumn("root", F.coalesce("root", "id")), "cells"
@@ -149,7 +160,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-# Near copies by the likeness of shingle sets: an exact set-similarity join, documents in place of lines.
+# Near copies by the likeness of shingle sets. Fingerprints of the sets meet in the grid of segment popcounts and the
+# shingles decide. Likeness down to 0.8 reaches beyond the bits that a grid covers, so sets of different groups then meet
+# by prefixes, an exact set-similarity join, and no pair is lost.
 
 RARITY = 1 << 20  # counters of shingles
 
@@ -186,12 +199,16 @@ def _shingled(column: pa.Array, width: int, counts: np.ndarray | None = None) ->
 
 
 def _keys(width: int):
-    """Key of every row's set; equal sets have one key."""
+    """Key and SimHash of every row's set; equal sets have one key, a set without shingles has no SimHash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [x.key for _, x in _shingled(batch.column(1), width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))], ["id", "key"])
+            keys, fps = [np.zeros(0, np.int64)], []
+            for _, x in _shingled(batch.column(1), width):
+                keys.append(x.key)
+                fps += [_majority(x.grams[o : o + n]) if n else None for o, n in zip(x.offset.tolist(), x.size.tolist())]
+            signed = pa.array(fps, pa.uint64()).view(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(keys)), signed], ["id", "key", "fp"])
 
     return run
 
@@ -243,20 +260,23 @@ def _sets_of(width: int, asked: Broadcast):
     return run
 
 
-def similar_groups(keys: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_groups(keys: DataFrame, width: int = 5, similarity: float = 0.8, bits: int = 3) -> DataFrame:
     """Group of every row of (id, text): texts whose sets of word shingles have a Jaccard likeness of ``similarity`` or more.
 
-    Sets of that likeness share a shingle among the first few of each (the prefix) in any order common to all sets; the
-    rarer shingles come first, by counters of fixed size. Sets meet by prefix shingles, sizes and places rule most
-    meetings out and the shingles themselves (64-bit hashes) decide, so no pair is missed and none is linked below
+    Sets whose SimHash differs in ``bits`` or fewer meet first, in the cells of :func:`grid_cells`. Sets of different
+    groups then meet by their prefixes: sets of that likeness share a shingle among the first few of each in any order
+    common to all sets; the rarer shingles come first, by counters of fixed size, and sizes and places rule most meetings
+    out. In both, the shingles themselves (64-bit hashes) decide, so no pair is missed and none is linked below
     ``similarity``. Returns id, group_id (least id of the group); equal sets are one node, as are texts without words.
     """
+    if bits > 3:
+        raise ValueError("two halves within one step cover at most three bits")
     share = Fraction(similarity).limit_denominator(1000)
     num, den = share.numerator, share.denominator
     spark = keys.sparkSession
     texts = keys.select(F.col("text").cast("binary").alias("t"))
-    known = materialise(keys.select("id", F.col("text").cast("binary").alias("t")).mapInArrow(_keys(width), "id long, key long"), "sets")
-    rows = texts.mapInArrow(_count_shingles(width), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # RARITY rows at most
+    known = materialise(keys.select("id", F.col("text").cast("binary").alias("t")).mapInArrow(_keys(width), "id long, key long, fp long"), "sets")
+    rows = texts.mapInArrow(_count_shingles(width), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # RARITY rows at most
     counts = np.zeros(RARITY, dtype=np.int64)
     counts[rows["cell"].to_numpy()] = rows["n"].to_numpy()
     prefixes = texts.mapInArrow(_shingle_prefixes(width, num, den, spark.sparkContext.broadcast(counts)), "cell long, id long, sig long")
@@ -271,6 +291,8 @@ def similar_groups(keys: DataFrame, width: int = 5, similarity: float = 0.8) ->
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = materialise(pairs, "meetings")
+        if pairs.isEmpty():
+            return pairs
         asked = materialise(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked")
         passing = spark.sparkContext.broadcast(_filter_of(asked))
         sets = texts.mapInArrow(_sets_of(width, passing), "key long, grams array<long>").join(asked, "key", "left_semi")
@@ -279,7 +301,9 @@ def similar_groups(keys: DataFrame, width: int = 5, similarity: float = 0.8) ->
         shared = F.size(F.array_intersect("of_a", "of_b"))
         return pairs.join(a, "a").join(b, "b").filter(shared * (num + den) >= (F.size("of_a") + F.size("of_b")) * num).select("a", "b")
 
-    roots = materialise(link_in_cells(cells, near, verify), "roots").withColumnRenamed("id", "key")
+    nodes = known.filter("fp IS NOT NULL").groupBy(F.col("key").alias("id")).agg(F.first("fp").alias("sig"))
+    linked = link_in_cells(grid_cells(nodes), within(bits), verify)
+    roots = materialise(link_in_cells(cells, near, verify, linked), "roots").withColumnRenamed("id", "key")
     nodes = known.groupBy("key").agg(F.min("id").alias("least")).join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     nodes = materialise(nodes, "nodes")
     table = materialise(nodes.join(nodes.groupBy("root").agg(F.min("least").alias("group_id")), "root").select("key", "group_id"), "nodes")

@@ -106,3 +106,39 @@ def test_groups_are_those_of_exact_shingle_likeness(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     got = {x.id: x.group_id for x in simhash.similar_groups(docs).collect()}
     assert got == dict(enumerate(root))
+
+
+def test_near_copies_meet_by_segment_popcounts_first(spark, monkeypatch):
+    import random
+
+    r = random.Random(4)
+    base = [f"t{r.randrange(10**6)}" for _ in range(2000)]
+    near = [*base[:-1], "other"]  # a likeness of 0.999
+    far = [*base[:900], *(f"u{r.randrange(10**6)}" for _ in range(100)), *base[1000:]]  # 0.9: more bits than cells reach
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate((base, near, far, base[::-1]))], "id long, text string")
+    fps = {x.id: x.fp for x in docs.select("id", simhash.F.col("text").cast("binary")).mapInArrow(simhash._keys(5), "id long, key long, fp long").collect()}
+    assert ((fps[0] ^ fps[1]) & (2**64 - 1)).bit_count() <= 3 < ((fps[0] ^ fps[2]) & (2**64 - 1)).bit_count()
+    found, whole = [], simhash.link_in_cells
+
+    def watched(cells, *rest):
+        probes = cells.filter("probe").count()
+        out = whole(cells, *rest)
+        found.append((probes > 0, out.count()))
+        return out
+
+    monkeypatch.setattr(simhash, "link_in_cells", watched)
+    got = {x.id: x.group_id for x in simhash.similar_groups(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3}
+    assert found == [(True, 2), (False, 3)]  # the grid links two, the prefixes add the third
+
+
+def test_counters_reach_the_driver_as_arrow(spark, odd, monkeypatch):
+    from pricecast.llm import line_dedup
+
+    def refused(self):
+        raise AssertionError("rows as Python objects take hundreds of megabytes of the driver")
+
+    docs = odd.selectExpr("doc_id AS id", "text")
+    monkeypatch.setattr(type(docs), "toPandas", refused)
+    assert simhash.similar_groups(docs).count() == docs.count()
+    assert line_dedup.by_document(odd).count() == odd.count()
