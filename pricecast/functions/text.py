@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +15,15 @@ NUMBER = r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 # evaluated once per mention.
 
 
+def once(c: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(c)`` with ``c`` evaluated once.
+
+    A higher-order function also keeps its operator out of the one generated method of a stage. That method, with a
+    row's parsing and a filter on it, grows past the size that the JVM compiles and then runs several times slower.
+    """
+    return F.transform(F.array(c), fn)[0]
+
+
 def to_number(c: Column) -> Column:
     """Decimal text to double; anything else, thousands separators included, is NULL."""
     return F.regexp_extract(c, rf"^\s*({NUMBER})\s*$", 1).try_cast("double")
@@ -51,6 +61,10 @@ def to_date(c: Column, formats: tuple[str, ...]) -> Column:
     Formats in digits are put in ISO order and cast, all in one expression as long as their shapes differ;
     the cast does not raise on bad text, which a parser does at a cost. Other formats go to the parser.
     """
+    return once(c, lambda x: _first_date(x, formats))
+
+
+def _first_date(c: Column, formats: tuple[str, ...]) -> Column:
     layers: list[dict[str, str]] = []
     worded = []
     for f in formats:
