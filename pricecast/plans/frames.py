@@ -11,6 +11,7 @@ from pricecast.operators.evaluate import to_long
 from pricecast.operators.features import feature_table, lag_roll_features
 from pricecast.operators.splits import holdout
 from pricecast.operators.windows import pct_change_column, rolling_std
+from pricecast.session import materialise
 from pricecast.sources.bars import daily_bars
 from pricecast.sources.tables import raw_bar_text, trades
 
@@ -30,7 +31,13 @@ def features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_bars(spark: SparkSession, folder: str) -> DataFrame:
-    return holdout(bars(spark, folder), TEST_SIZE)
+    """Bars with their split, written once: forecasters read them many times, and the trades behind them must not follow."""
+    return materialise(holdout(bars(spark, folder), TEST_SIZE), "split_bars")
+
+
+def split_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The feature table with its split, written once as :func:`split_bars` is."""
+    return materialise(holdout(features(spark, folder), TEST_SIZE), "split_features")
 
 
 def complete_rows(spark: SparkSession, folder: str) -> DataFrame:

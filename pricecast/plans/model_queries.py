@@ -170,7 +170,7 @@ def _top_ranked(spark, folder):
 
 @query("forest_importance")
 def _forest_importance(spark, folder):
-    table = splits.holdout(frames.features(spark, folder), frames.TEST_SIZE)
+    table = frames.split_features(spark, folder)
     names = feature_names()
     train = F.col("split") == "train"
     scaled = regress.scale_by_series(table, ["price", *names], train).where(train)
@@ -217,7 +217,7 @@ def _alpha_grid(spark, folder):
 
 
 def _feature_split(spark, folder):
-    return splits.holdout(frames.features(spark, folder), frames.TEST_SIZE)
+    return frames.split_features(spark, folder)
 
 
 add_ridge("ridge_all", "feature_rows", feature_names(), ALPHA)

@@ -105,3 +105,35 @@ def test_ingest_and_stage_files(spark, raw, tmp_path):
     assert "Change %" in spark.read.csv(str(tmp_path / "csv"), header=True).columns
     files.write_report(clean.limit(1).select(F.struct("price").alias("bar")), str(tmp_path / "report"))
     assert files.read_report(spark, str(tmp_path / "report"), "bar struct<price:double>").first().bar.price > 0
+
+
+def lineitem(spark, folder):
+    """A small table of line items on which every kind of cell comes up."""
+    rows = [
+        (k, k % 50, k % 9, k % 7 + 1, float(k % 50), 1000.0 + k, (k % 11) / 100, (k % 9) / 100, "ANR"[k % 3], "FO"[k % 2], dt.datetime(2020, 1, 1) + dt.timedelta(days=k % 600))
+        for k in range(1800)
+    ]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    spark.createDataFrame(rows, names + ", l_returnflag string, l_linestatus string, l_shipdate timestamp").write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_parsing_behind_a_filter_stays_compiled(spark, tmp_path):
+    """The JVM runs methods of over 8,000 bytes interpreted; the filters repeat the parsing of what they test."""
+    from pricecast.operators import clean
+    from pricecast.sources.tables import raw_bar_text
+
+    parsed = clean.parse_bars(raw_bar_text(spark, lineitem(spark, tmp_path)))
+    debug = spark._jvm.org.apache.spark.sql.execution.debug
+    codes = getattr(getattr(debug, "package$"), "MODULE$")
+    for df in (clean.drop_unusable(parsed), clean.weekdays(clean.drop_unusable(parsed))):
+        made = codes.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        assert max([made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())], default=0) < 8000
+
+
+def test_panels_that_are_read_often_do_not_lead_back_to_trades(spark, tmp_path):
+    from pricecast.plans import frames
+
+    folder = lineitem(spark, tmp_path)
+    for panel in (frames.split_bars(spark, folder), frames.split_features(spark, folder)):
+        assert panel.count() > 0 and not any("lineitem" in name for name in panel.inputFiles())
