@@ -3,13 +3,14 @@
 The table is binned once. Every tree grows level by level: a task adds up, for each open node, the residuals by feature
 and bin, Spark adds the tasks' sums, and the driver picks the cuts from a few thousand numbers whatever the table's size.
 Residuals are kept with the binned table: it is written again, with the trees so far taken off, every few rounds; between
-that the tasks take off the latest trees themselves. Training ends when the validation error has not improved for
+that the tasks take off the latest trees themselves. A table that is one partition has no sums to add: its task runs all
+rounds and returns the trees. Training ends when the validation error has not improved for
 ``patience`` rounds, and the model is cut back to the best round; the history keeps the rounds after it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,6 +27,7 @@ ROWS_A_TASK = 50_000  # a smaller table is one partition: its passes are many an
 FEW_TASKS = 16  # the driver adds the sums of so many tasks itself; those of more are added up by Spark
 REWRITE = 16  # rounds between two writings of the residuals
 IMPROVES = 1e-6  # a lower validation error by less is no improvement: fixed value
+_ROUND = "number int, epoch int, train_loss double, val_loss double, feature array<bigint>, cut array<double>, value array<double>, best int"
 
 
 @dataclass(frozen=True)
@@ -132,30 +134,35 @@ def _sampled(keys: np.ndarray, share: float, seed: int) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) * 2.0**-53 < share
 
 
+def _added(parts: Iterable[tuple[np.ndarray, ...]], p: int, bins: int, tree: Tree, opened: list[int], share: float, seed: int) -> np.ndarray:
+    """The sums of :func:`_sums` over parts of codes, residuals, held-out marks and keys; a row for every open node."""
+    total = np.zeros((len(opened), p, bins, 2))
+    losses = np.zeros(4)
+    where = np.full(len(tree.feature), -1)
+    where[opened] = np.arange(len(opened))
+    for codes, r, held, keys in parts:
+        for i, rows in enumerate((~held, held)):
+            losses[2 * i : 2 * i + 2] += rows.sum(), (r[rows] ** 2).sum()
+        learn = ~held & _sampled(keys, share, seed) if share < 1 else ~held
+        codes, r = codes[learn], r[learn]
+        slot = where[tree.nodes(codes)]
+        codes, r, slot = codes[slot >= 0], r[slot >= 0], slot[slot >= 0]
+        for f in range(p):
+            at = slot * bins + codes[:, f]
+            total[:, f, :, 0] += np.bincount(at, minlength=len(opened) * bins).reshape(-1, bins)
+            total[:, f, :, 1] += np.bincount(at, weights=r, minlength=len(opened) * bins).reshape(-1, bins)
+    values = np.zeros((len(opened), p * bins * 2 + 4))
+    values[:, :-4] = total.reshape(len(opened), -1)
+    values[0, -4:] = losses
+    return values
+
+
 def _sums(p: int, bins: int, recent: list[Tree], rate: float, tree: Tree, opened: list[int], share: float, seed: int):
     """Of every open node: count and residual sum by feature and bin; and four sums of the losses, with the first node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(opened), p, bins, 2))
-        losses = np.zeros(4)
-        where = np.full(len(tree.feature), -1)
-        where[opened] = np.arange(len(opened))
-        for batch in batches:
-            codes, r = _residuals(batch, p, recent, rate)
-            held = batch.column("valid").to_numpy(zero_copy_only=False)
-            for i, rows in enumerate((~held, held)):
-                losses[2 * i : 2 * i + 2] += rows.sum(), (r[rows] ** 2).sum()
-            learn = ~held & _sampled(batch.column("key").to_numpy(), share, seed) if share < 1 else ~held
-            codes, r = codes[learn], r[learn]
-            slot = where[tree.nodes(codes)]
-            codes, r, slot = codes[slot >= 0], r[slot >= 0], slot[slot >= 0]
-            for f in range(p):
-                at = slot * bins + codes[:, f]
-                total[:, f, :, 0] += np.bincount(at, minlength=len(opened) * bins).reshape(-1, bins)
-                total[:, f, :, 1] += np.bincount(at, weights=r, minlength=len(opened) * bins).reshape(-1, bins)
-        values = np.zeros((len(opened), p * bins * 2 + 4))
-        values[:, :-4] = total.reshape(len(opened), -1)
-        values[0, -4:] = losses
+        parts = ((*_residuals(b, p, recent, rate), b.column("valid").to_numpy(zero_copy_only=False), b.column("key").to_numpy()) for b in batches)
+        values = _added(parts, p, bins, tree, opened, share, seed)
         offsets = pa.array(np.arange(len(opened) + 1, dtype=np.int32) * values.shape[1])
         yield pa.RecordBatch.from_arrays([pa.array(opened, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))], names=["node", "v"])
 
@@ -213,23 +220,21 @@ def fit_boosting(train: DataFrame, features: str | list[str], label: str, params
     tasks = max(1, rows.count() // ROWS_A_TASK)
     table = materialise(table.coalesce(tasks), "boost_binned")
     model = BoostedTrees(float(base), params.learning_rate, [], features, p)
-    recent: list[Tree] = []
-    best = np.inf
-    for number in range(1, params.n_estimators + 2):
-        tree, losses = _grow(table, p, bins, recent, params, seed + number, number > params.n_estimators, tasks <= FEW_TASKS)
-        if number > 1:  # the losses are those of the rounds before
-            train_loss, val_loss = losses
-            model.history.append((number - 1, train_loss, val_loss))
-            if val_loss < best - IMPROVES:
-                best, model.best_round = val_loss, number - 1
-            if params.patience and number - 1 - model.best_round >= params.patience:
-                break
-        if number > params.n_estimators:
-            break
-        model.trees.append(tree)
-        recent.append(tree)
-        if len(recent) == REWRITE:
-            table, recent = _rewritten(table, p, recent, params.learning_rate), []
+    if tasks == 1:
+        _rounds_in_a_task(table, model, bins, params, seed)
+    else:
+        recent: list[Tree] = []
+
+        def add(tree: Tree) -> None:
+            nonlocal table, recent
+            recent.append(tree)
+            if len(recent) == REWRITE:
+                table, recent = _rewritten(table, p, recent, params.learning_rate), []
+
+        def found(tree: Tree, opened: list[int], number: int) -> dict[int, np.ndarray]:
+            return _collected(table, p, bins, recent, params, tree, opened, seed + number, tasks <= FEW_TASKS)
+
+        _rounds(model, bins, params, found, add)
     if validation:
         model.trees = model.trees[: model.best_round]
     else:
@@ -249,20 +254,75 @@ def _rewritten(table: DataFrame, p: int, recent: list[Tree], rate: float) -> Dat
     return materialise(table.mapInArrow(run, table.schema), "boost_residuals")
 
 
-def _grow(table: DataFrame, p: int, bins: int, recent: list[Tree], params: BoostParams, seed: int, losses_only: bool, few_tasks: bool) -> tuple[Tree, tuple[float, float]]:
+def _rounds(model: BoostedTrees, bins: int, params: BoostParams, found: Callable, add: Callable[[Tree], None]) -> None:
+    """Adds trees and the history of losses to the model. ``found`` gives the sums of a tree's open nodes, ``add`` takes off its predictions."""
+    best = np.inf
+    for number in range(1, params.n_estimators + 2):
+        tree, losses = _grow(model.size, bins, params, lambda tree, opened: found(tree, opened, number), number > params.n_estimators)
+        if number > 1:  # the losses are those of the rounds before
+            train_loss, val_loss = losses
+            model.history.append((number - 1, train_loss, val_loss))
+            if val_loss < best - IMPROVES:
+                best, model.best_round = val_loss, number - 1
+            if params.patience and number - 1 - model.best_round >= params.patience:
+                break
+        if number > params.n_estimators:
+            break
+        model.trees.append(tree)
+        add(tree)
+
+
+def _rounds_in_a_task(table: DataFrame, model: BoostedTrees, bins: int, params: BoostParams, seed: int) -> None:
+    """All rounds over a table of one partition, of fewer than twice ROWS_A_TASK rows; what comes back is a row for each round."""
+    p, rate = model.size, model.rate
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(*_residuals(b, p, [], rate), b.column("valid").to_numpy(zero_copy_only=False), b.column("key").to_numpy()) for b in batches]
+        own = BoostedTrees(0.0, rate, [], [], p)
+
+        def add(tree: Tree) -> None:
+            for codes, r, _, _ in parts:
+                r -= rate * tree.predict(codes)
+
+        def found(tree: Tree, opened: list[int], number: int) -> dict[int, np.ndarray]:
+            return dict(zip(opened, _added(parts, p, bins, tree, opened, params.subsample, seed + number)))
+
+        if parts:
+            _rounds(own, bins, params, found, add)
+        losses = [*own.history, *[(None, None, None)] * (len(own.trees) - len(own.history))]
+        columns = [pa.array([x[i] for x in losses], t) for i, t in enumerate((pa.int32(), pa.float64(), pa.float64()))]
+        columns += [pa.array([getattr(t, k) for t in own.trees], pa.list_(v)) for k, v in (("feature", pa.int64()), ("cut", pa.float64()), ("value", pa.float64()))]
+        numbers = pa.array(range(1, len(own.trees) + 1), pa.int32())
+        yield pa.RecordBatch.from_arrays([numbers, *columns, pa.array([own.best_round] * len(numbers), pa.int32())], names=[c.split()[0] for c in _ROUND.split(", ")])
+
+    rounds = table.coalesce(1).mapInArrow(run, _ROUND).toArrow().sort_by("number").to_pylist()
+    for x in rounds:
+        model.trees.append(Tree(np.array(x["feature"]), np.array(x["cut"]), np.array(x["value"])))
+        if x["epoch"] is not None:
+            model.history.append((x["epoch"], x["train_loss"], x["val_loss"]))
+        model.best_round = x["best"]
+
+
+def _collected(table: DataFrame, p: int, bins: int, recent: list[Tree], params: BoostParams, tree: Tree, opened: list[int], seed: int, few_tasks: bool) -> dict[int, np.ndarray]:
+    """The sums of the open nodes, added up over the tasks."""
+    sums = table.mapInArrow(_sums(p, bins, recent, params.learning_rate, tree, opened, params.subsample, seed), "node int, v array<double>")
+    if not few_tasks:
+        added = Summarizer.metrics("sum").summary(array_to_vector("v")).getField("sum")
+        sums = sums.groupBy("node").agg(vector_to_array(added).alias("v"))  # a row an open node
+    found = dict.fromkeys(opened, 0.0)
+    for batch in sums.toArrow().to_batches():
+        for node, v in zip(batch.column("node").to_pylist(), batch.column("v")):
+            found[node] = found[node] + v.values.to_numpy()
+    return found
+
+
+def _grow(p: int, bins: int, params: BoostParams, sums: Callable, losses_only: bool) -> tuple[Tree, tuple[float, float]]:
     """The next tree, and the mean squared errors before it (training's for both where nothing is held out)."""
     tree = Tree.leaf(params.max_depth, 0.0)
     opened = [1]
     losses = (np.nan, np.nan)
     for level in range(max(1, params.max_depth)):
-        sums = table.mapInArrow(_sums(p, bins, recent, params.learning_rate, tree, opened, params.subsample, seed), "node int, v array<double>")
-        if not few_tasks:
-            added = Summarizer.metrics("sum").summary(array_to_vector("v")).getField("sum")
-            sums = sums.groupBy("node").agg(vector_to_array(added).alias("v"))  # a row an open node
-        found = dict.fromkeys(opened, 0.0)
-        for batch in sums.toArrow().to_batches():
-            for node, v in zip(batch.column("node").to_pylist(), batch.column("v")):
-                found[node] = found[node] + v.values.to_numpy()
+        found = sums(tree, opened)
         if level == 0:
             n, e, held_n, held_e = found[1][-4:]
             losses = (float(e / n), float(held_e / held_n) if held_n else float(e / n))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from pricecast.config import SEARCH_SPACES
 from pricecast.functions.numeric import clamp_denominator, zscore, zscore_inverse
+from pricecast.operators.boost import BoostedTrees, BoostParams, fit_boosting
 from pricecast.operators.evaluate import r2
 from pricecast.operators.gram import best_alpha, ridge_cv, ridge_fit, ridge_predict
 from pricecast.operators.layout import SERIES
@@ -85,6 +86,13 @@ def fit_trees(train: DataFrame, features: list[str], family: str, params: dict |
     return Pipeline(stages=[assembler, learner(family, params, seed, label)]).fit(train)
 
 
+def fit_compared(train: DataFrame, features: list[str], family: str, params: dict | None = None, seed: int = 42, label: str = "y") -> BoostedTrees | Forest:
+    """As :func:`fit_trees`; boosting keeps all searched parameters, ``min_samples_split`` too, and one task fits a small panel."""
+    if family == "gradient_boosting":
+        return fit_boosting(train, features, label, BoostParams(**{"max_bins": 256, **(params or {})}), seed)
+    return fit_trees(train, features, family, params, seed, label)
+
+
 def ridge_pipeline(features: list[str], alpha: float, n: int, target_std: float, label: str = "price") -> Pipeline:
     """The same penalty as ``alpha`` in MLlib's terms, for a single series or a pooled fit.
 
@@ -112,7 +120,7 @@ def tree_forecast(matrix: DataFrame, lags, family: str, params: dict, model_name
     return predictions_of(model, matrix.where(F.col("split") == "test"), model_name)
 
 
-def predictions_of(model: PipelineModel | Forest, rows: DataFrame, model_name: str) -> DataFrame:
+def predictions_of(model: PipelineModel | Forest | BoostedTrees, rows: DataFrame, model_name: str) -> DataFrame:
     return model.transform(rows).select(
         "series_id", "date", F.lit(model_name).alias("model"), "actual", unscale(F.col("prediction"), "price").alias("predicted")
     )
@@ -152,7 +160,7 @@ def kernel_forecast(split: DataFrame, lags, c: float = 10.0, epsilon: float = 0.
     return rows.select("series_id", "date", F.lit(model_name).alias("model"), "actual", "predicted")
 
 
-def search_trees(train: DataFrame, features: list[str], family: str, n_iter: int, k: int, seed: int = 42, space: dict | None = None, parallelism: int = 4) -> tuple[dict, float]:
+def search_trees(train: DataFrame, features: list[str], family: str, n_iter: int, k: int, seed: int = 42, space: dict | None = None, parallelism: int = 4, fit=fit_trees) -> tuple[dict, float]:
     """Best drawn parameters and their mean walk-forward RMSE, on errors in units of each series' training deviation.
 
     ``train`` is unscaled: every fold is standardised by the moments of its own training rows, which are a prefix of
@@ -169,7 +177,7 @@ def search_trees(train: DataFrame, features: list[str], family: str, n_iter: int
 
     def run(task: tuple[int, int]) -> tuple[int, float]:
         no, fold = task
-        model = fit_trees(parts[fold].where(F.col("chunk") <= fold), features, family, draws[no], seed, "price")
+        model = fit(parts[fold].where(F.col("chunk") <= fold), features, family, draws[no], seed, "price")
         rows = model.transform(parts[fold].where(F.col("chunk") == fold + 1))
         return no, rows.agg(F.sqrt(F.avg((F.col("prediction") - F.col("actual")) ** 2))).first()[0]
 
@@ -181,12 +189,13 @@ def search_trees(train: DataFrame, features: list[str], family: str, n_iter: int
     return draws[best], mean[best]
 
 
-def train_model(table: DataFrame, features: list[str], family: str, fixed_params: dict | None = None, n_iter: int = 30, k: int = 5, seed: int = 42, space: dict | None = None, refit: bool = True):
+def train_model(table: DataFrame, features: list[str], family: str, fixed_params: dict | None = None, n_iter: int = 30, k: int = 5, seed: int = 42, space: dict | None = None, refit: bool = True, fit=fit_trees):
     """Search (or take fixed parameters), fit on train rows, score both parts, refit on all rows.
 
     ``table`` is a split feature table. Returns predictions of both parts, a report of parameters and metrics with
     a row per series (levels of different series would flatter a pooled R2), and the model refitted on everything:
     a coefficient table for ridge, for trees a pipeline with the moments of its series; None without ``refit``.
+    ``fit`` grows the trees of the search and of the scores.
     """
     if family == "ridge":
         table = table.withColumn("actual", F.col("price"))
@@ -198,8 +207,8 @@ def train_model(table: DataFrame, features: list[str], family: str, fixed_params
     if fixed_params:
         params = fixed_params
     else:
-        params, cv = search_trees(table.where(F.col("split") == "train"), features, family, n_iter, k, seed, space)
-    model = fit_trees(train, features, family, params, seed, "price")
+        params, cv = search_trees(table.where(F.col("split") == "train"), features, family, n_iter, k, seed, space, fit=fit)
+    model = fit(train, features, family, params, seed, "price")
     both = predictions_of(model, scaled, family).join(scaled.select("series_id", "date", "split"), ["series_id", "date"])
     final = None
     if refit:
@@ -263,7 +272,7 @@ def compare_models(table: DataFrame, features: list[str], families, n_iter: int,
     """A report row per family and series."""
     out = None
     for family in families:
-        _, report, _ = train_model(table, features, family, None, n_iter, k, seed, (spaces or SEARCH_SPACES)[family], refit=False)
+        _, report, _ = train_model(table, features, family, None, n_iter, k, seed, (spaces or SEARCH_SPACES)[family], refit=False, fit=fit_compared)
         out = report if out is None else out.unionByName(report)
     return out
 

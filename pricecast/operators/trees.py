@@ -164,7 +164,8 @@ def finish_searched(codes: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int,
         codes, y, w, node = codes[order], y[order], w[order], node[order]
         starts = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
         sizes = np.diff(np.append(starts, len(y)))
-        own, n, s = node[starts], np.add.reduceat(w, starts), np.add.reduceat(w * y, starts)
+        wy = w * y
+        own, n, s = node[starts], np.add.reduceat(w, starts), np.add.reduceat(wy, starts)
         inner = (n >= params.min_samples_split) & (n >= 2 * params.min_samples_leaf) & (np.minimum.reduceat(y, starts) < np.maximum.reduceat(y, starts))
         if level >= params.depth():
             inner[:] = False
@@ -174,18 +175,24 @@ def finish_searched(codes: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int,
         for f in range(p):
             if not (allowed[:, f] & inner).any():
                 continue
-            by = _by_segment_and_code(segment, codes[:, f])
-            c, sums_w, sums_y = codes[by, f], np.cumsum(w[by]), np.cumsum((w * y)[by])
-            n_left = sums_w - np.repeat(sums_w[starts] - w[by][starts], sizes)
-            s_left = sums_y - np.repeat(sums_y[starts] - (w * y)[by][starts], sizes)
-            n_right, s_right = n[segment] - n_left, s[segment] - s_left
-            ends = np.append((c[1:] != c[:-1]) & (segment[1:] == segment[:-1]), False)  # last row of a code, not of the node
-            valid = ends & (n_left >= params.min_samples_leaf) & (n_right >= params.min_samples_leaf) & allowed[segment, f]
-            gain = np.full(len(y), -1.0)
+            asked = np.flatnonzero(allowed[:, f] & inner)  # nodes; the rows of others cost nothing
+            its = sizes[asked]
+            part = np.repeat(np.arange(len(asked)), its)
+            begin = np.cumsum(its) - its
+            rows = np.repeat(starts[asked] - begin, its) + np.arange(len(part))
+            by = rows[_by_segment_and_code(part, codes[rows, f])]
+            c, own_w, own_y = codes[by, f], w[by], wy[by]
+            sums_w, sums_y = np.cumsum(own_w), np.cumsum(own_y)
+            n_left = sums_w - np.repeat(sums_w[begin] - own_w[begin], its)
+            s_left = sums_y - np.repeat(sums_y[begin] - own_y[begin], its)
+            n_right, s_right = n[asked][part] - n_left, s[asked][part] - s_left
+            ends = np.append((c[1:] != c[:-1]) & (part[1:] == part[:-1]), False)  # last row of a code, not of the node
+            valid = ends & (n_left >= params.min_samples_leaf) & (n_right >= params.min_samples_leaf)
+            gain = np.full(len(c), -1.0)
             gain[valid] = s_left[valid] ** 2 / n_left[valid] + s_right[valid] ** 2 / n_right[valid]
-            top = np.maximum.reduceat(gain, starts)
-            first = np.where(gain >= (top - EQUAL * np.abs(top))[segment], np.arange(len(y)), len(y))
-            gains[:, f], cuts[:, f] = top, c[np.minimum(np.minimum.reduceat(first, starts), len(y) - 1)]
+            top = np.maximum.reduceat(gain, begin)
+            first = np.where(gain >= (top - EQUAL * np.abs(top))[part], np.arange(len(c)), len(c))
+            gains[asked, f], cuts[asked, f] = top, c[np.minimum(np.minimum.reduceat(first, begin), len(c) - 1)]
         top = gains.max(axis=1)
         feature = np.where(inner & (top >= 0), (gains >= (top - EQUAL * np.abs(top))[:, None]).argmax(axis=1), -1)
         cut = cuts[np.arange(len(own)), feature]
@@ -384,7 +391,7 @@ def _descend(trees: list[tuple[np.ndarray, ...]], x: np.ndarray) -> np.ndarray:
 
 def _local_rows(n: int) -> int:
     """Rows of a node that one task finishes: more of them for larger tables, so that few nodes are open at once."""
-    return min(1 << 18, max(1 << 11, n // 4096))
+    return min(1 << 18, max(1 << 14, n // 4096))
 
 
 def grow_drawn_forest(train: DataFrame, features: list[str], label: str, params: ForestParams, seed: int = 42, local_rows: int | None = None) -> Forest:
@@ -466,10 +473,16 @@ def _grow_group(spark: SparkSession, rows: DataFrame, p: int, trees: range, n: i
     if any(small.values()):
         waiting = {t: np.array(sorted(v), dtype=np.int64) for t, v in small.items() if v}
         dealt = rows.mapInArrow(_deal(splits(), waiting, p), "tree int, node long, rows binary")
-        out = out.unionByName(dealt.groupBy("tree", "node").applyInArrow(_finish_groups(params, seed, p), NODES))
+        out = out.unionByName(_spread(dealt).groupBy("tree", "node").applyInArrow(_finish_groups(params, seed, p), NODES))
     return materialise(out, "forest_nodes")
 
 
+def _spread(dealt: DataFrame) -> DataFrame:
+    """Few bytes are much work here, so small partitions are not to be joined into a few tasks, nor to be far more than the cores."""
+    spark = dealt.sparkSession
+    return dealt.repartition(min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), "tree", "node")
+
+
 def _scatter(found: pa.Table, wanted: dict[int, np.ndarray], into) -> None:
     """Places rows (tree, node, feature, values) in arrays by tree."""
     tree, node, feature = (found.column(c).to_numpy() for c in ("tree", "node", "feature"))
@@ -511,6 +524,10 @@ def _bin_sums(splits: dict[int, _Splits], wanted: dict[int, np.ndarray], p: int,
     return run
 
 
+def _drawn_rows(p: int) -> np.dtype:
+    return np.dtype([("codes", np.int16, (p,)), ("y", np.float64), ("w", np.int16)])
+
+
 def _deal_weighted(splits: dict[int, _Splits], small: dict[int, np.ndarray], p: int, seed: int):
     """(tree, node, rows): codes, target and weight of a task's drawn rows of every small node."""
 
@@ -519,10 +536,13 @@ def _deal_weighted(splits: dict[int, _Splits], small: dict[int, np.ndarray], p:
             codes, y, key = _coded(batch, p)
             for t, own in small.items():
                 w = weights(seed, t, key)
-                both = np.column_stack([codes, y, w])[w > 0]
-                rows, places, starts = _by_node(splits[t].route(codes[w > 0]), own)
+                drawn = np.flatnonzero(w)
+                rows, places, starts = _by_node(splits[t].route(codes[drawn]), own)
                 if len(rows):
-                    parts = [both[r].tobytes() for r in np.split(rows, starts[1:])]
+                    both = np.empty(len(rows), _drawn_rows(p))
+                    at = drawn[rows]
+                    both["codes"], both["y"], both["w"] = codes[at], y[at], w[at]
+                    parts = [part.tobytes() for part in np.split(both, starts[1:])]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), t, np.int32)), pa.array(own[places]), pa.array(parts, pa.binary())], names=["tree", "node", "rows"])
 
     return run
@@ -531,8 +551,8 @@ def _deal_weighted(splits: dict[int, _Splits], small: dict[int, np.ndarray], p:
 def _finish_searched_groups(params: ForestParams, seed: int, p: int):
     def run(table: pa.Table) -> pa.Table:
         tree, root = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
-        z = np.concatenate([np.frombuffer(b.as_py()).reshape(-1, p + 2) for b in table.column("rows")])
-        done = finish_searched(z[:, :p].astype(np.int32), z[:, p], z[:, p + 1].astype(np.int64), tree, root, params, seed)
+        z = np.concatenate([np.frombuffer(b.as_py(), _drawn_rows(p)) for b in table.column("rows")])
+        done = finish_searched(z["codes"].astype(np.int32), z["y"].copy(), z["w"].astype(np.int64), tree, root, params, seed)
         columns = {"tree": np.full(len(done["node"]), tree, np.int32), **done, "feature": done["feature"].astype(np.int32)}
         return pa.table({f.name: pa.array(columns[f.name], f.type, from_pandas=True) for f in _ARROW}, _ARROW)
 
@@ -641,5 +661,5 @@ def _grow_searched(coded: DataFrame, p: int, bins: int, trees: range, rows: int,
     if any(small.values()):
         waiting = {t: np.array(sorted(v), dtype=np.int64) for t, v in small.items() if v}
         dealt = coded.mapInArrow(_deal_weighted(splits(), waiting, p, seed), "tree int, node long, rows binary")
-        out = out.unionByName(dealt.groupBy("tree", "node").applyInArrow(_finish_searched_groups(params, seed, p), NODES))
+        out = out.unionByName(_spread(dealt).groupBy("tree", "node").applyInArrow(_finish_searched_groups(params, seed, p), NODES))
     return materialise(out, "forest_nodes")

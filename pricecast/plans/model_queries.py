@@ -1,7 +1,4 @@
-"""Queries on splits, feature ranking, regressors and forecasters, at the library's sizes.
-
-``model_comparison`` alone searches small spaces of small ensembles.
-"""
+"""Queries on splits, feature ranking, regressors and forecasters, at the library's sizes."""
 
 from __future__ import annotations
 
@@ -19,6 +16,7 @@ from pricecast.plans.oracle import CTES, RECURSIVE, add_differences, add_least_s
 from pricecast.session import materialise
 
 LAGS = ResearchConfig().lags
+SEARCH_FOLDS, SEARCH_DRAWS = ExperimentConfig().cv_splits, ExperimentConfig().n_iter_per_model
 
 # fold i of k tests rows [n - (k-i)*ts, +ts) and trains on all rows before.
 FOLDS = """SELECT c.*, f.fold, CASE WHEN pos >= cn - (5 - f.fold) * (cn // 6) THEN 'test' ELSE 'train' END AS role FROM
@@ -263,19 +261,12 @@ def _rff_kernel_forecast(spark, folder):
 
 @query("model_comparison")
 def _model_comparison(spark, folder):
+    """Every family searches its whole space on all features, with the draws and folds of the experiments."""
     table = _feature_split(spark, folder)
-    names = ["price_lag_1", "price_lag_2", "price_roll_mean_7", "price_return_1", "open", "high", "low", "vol", "change_pct"]
-    spaces = {
-        "ridge": SEARCH_SPACES["ridge"],
-        "random_forest": {"n_estimators": [5, 10], "max_depth": [4, 6]},
-        "gradient_boosting": {"n_estimators": [5, 8], "max_depth": [2, 3]},
-        "extra_trees": {"n_estimators": [5, 10], "max_depth": [4, 6]},
-    }
-    board = regress.compare_models(table, names, tuple(spaces), 2, 2, spaces=spaces)
+    board = regress.compare_models(table, feature_names(), ExperimentConfig().models, SEARCH_DRAWS, SEARCH_FOLDS, ExperimentConfig().random_state)
     return rounded(board.withColumn("best_params", F.to_json("best_params")).orderBy("test_rmse"))
 
 
-SEARCH_FOLDS, SEARCH_DRAWS = ExperimentConfig().cv_splits, ExperimentConfig().n_iter_per_model
 PENALTIES = [d["alpha"] for d in splits.draw_params(SEARCH_SPACES["ridge"], SEARCH_DRAWS, ExperimentConfig().random_state)]
 add_ridge_search("ridge_search", "feature_rows", feature_names(), PENALTIES, SEARCH_FOLDS)
 
