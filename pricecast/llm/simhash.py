@@ -114,10 +114,10 @@ def link_in_cells(
     if linked is None:
         cells = cells.withColumn("known", F.col("id"))
     else:
-        cells = cells.join(linked.withColumnRenamed("root", "known"), "id", "left").withColumn("known", F.coalesce("known", "id"))
+        cells = cells.join(linked.withColumnRenamed("root", "known").hint("merge"), "id", "left").withColumn("known", F.coalesce("known", "id"))
     own = cells.filter(~F.col("probe"))
     head = own.groupBy("cell").agg(F.min(F.struct("id", "sig", "known")).alias("head"))
-    tagged = materialise(cells.join(head, "cell"), "cells")
+    tagged = materialise(cells.join(head.hint("merge"), "cell"), "cells")
     star = tagged.filter(F.col("known") != F.col("head.known")).filter(close(F.col("sig"), F.col("head.sig")))
     star = verify(star.select(F.col("id").alias("a"), F.col("head.id").alias("b")).distinct()).select("a", "b")
     if linked is not None:
@@ -125,9 +125,9 @@ def link_in_cells(
     star = materialise(star, "links")
     first = components(star)
     named = materialise(
-        tagged.select("cell", "id", "sig", "probe").join(first, "id", "left").withColumn("root", F.coalesce("root", "id")), "cells"
+        tagged.select("cell", "id", "sig", "probe").join(first.hint("merge"), "id", "left").withColumn("root", F.coalesce("root", "id")), "cells"
     )
-    x, y = named.alias("x"), named.filter(~F.col("probe")).alias("y")
+    x, y = named.alias("x"), named.filter(~F.col("probe")).alias("y").hint("merge")
     pairs = x.join(
         y,
         (F.col("x.cell") == F.col("y.cell"))
@@ -142,7 +142,8 @@ def link_in_cells(
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, bits: int = 3) -> DataFrame:
     """Columns doc_id, fingerprint (16 hex digits) and component_id (least doc_id reachable) of every row.
 
-    Equal fingerprints are one node, so groups of copies cost one row each. A null text is empty; texts without words
+    Joins are merges by hint: a table that grows with the input looks small in its files, and smaller before an explode, and
+    Spark would send it through the driver. Equal fingerprints are one node, so groups of copies cost one row each. A null text is empty; texts without words
     have fingerprint zero and link like any other. Rows may repeat an id or have none: a null id is never the name of
     a component unless all of its ids are null. An empty table gives an empty result.
     """
@@ -151,11 +152,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fps = materialise(with_fingerprint(docs, id_col, text_col, width), "fingerprints")
     nodes = materialise(fps.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     roots = link_in_cells(grid_cells(nodes.select(F.col("fp").alias("id"), F.col("fp").alias("sig"))), within(bits))
-    named = nodes.join(roots.select(F.col("id").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = nodes.join(roots.select(F.col("id").alias("fp"), "root").hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = materialise(named, "nodes")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    table = materialise(named.join(names, "root").select("fp", "component_id"), "nodes")
-    return fps.join(table, "fp").select(
+    table = materialise(named.join(names.hint("merge"), "root").select("fp", "component_id"), "nodes")
+    return fps.join(table.hint("merge"), "fp").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -295,19 +296,19 @@ def similar_groups(keys: DataFrame, width: int = 5, similarity: float = 0.8, bit
             return pairs
         asked = materialise(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked")
         passing = spark.sparkContext.broadcast(_filter_of(asked))
-        sets = texts.mapInArrow(_sets_of(width, passing), "key long, grams array<long>").join(asked, "key", "left_semi")
+        sets = texts.mapInArrow(_sets_of(width, passing), "key long, grams array<long>").join(asked.hint("merge"), "key", "left_semi")
         sets = materialise(sets.groupBy("key").agg(F.first("grams").alias("grams")), "shingles")
         a, b = (sets.select(F.col("key").alias(k), F.col("grams").alias(f"of_{k}")) for k in "ab")
         shared = F.size(F.array_intersect("of_a", "of_b"))
-        return pairs.join(a, "a").join(b, "b").filter(shared * (num + den) >= (F.size("of_a") + F.size("of_b")) * num).select("a", "b")
+        return pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").filter(shared * (num + den) >= (F.size("of_a") + F.size("of_b")) * num).select("a", "b")
 
     nodes = known.filter("fp IS NOT NULL").groupBy(F.col("key").alias("id")).agg(F.first("fp").alias("sig"))
     linked = link_in_cells(grid_cells(nodes), within(bits), verify)
     roots = materialise(link_in_cells(cells, near, verify, linked), "roots").withColumnRenamed("id", "key")
-    nodes = known.groupBy("key").agg(F.min("id").alias("least")).join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    nodes = known.groupBy("key").agg(F.min("id").alias("least")).join(roots.hint("merge"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     nodes = materialise(nodes, "nodes")
-    table = materialise(nodes.join(nodes.groupBy("root").agg(F.min("least").alias("group_id")), "root").select("key", "group_id"), "nodes")
-    return known.join(table, "key").select("id", "group_id")
+    table = materialise(nodes.join(nodes.groupBy("root").agg(F.min("least").alias("group_id")).hint("merge"), "root").select("key", "group_id"), "nodes")
+    return known.join(table.hint("merge"), "key").select("id", "group_id")
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -318,10 +319,10 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFr
     rows = docs.select(F.struct(*docs.columns).alias("row")).withColumn("tag", F.xxhash64("row.text"))
     keys = rows.select(F.col("row.doc_id").alias("doc_id"), "tag", F.xxhash64("row.doc_id", "tag").alias("id"), F.col("row.text").alias("text"))
     groups = similar_groups(keys.select("id", "text"), width, similarity).groupBy("id").agg(F.min("group_id").alias("group_id"), F.count("*").alias("times"))
-    named = keys.select("doc_id", "tag", "id").distinct().join(groups, "id")
+    named = keys.select("doc_id", "tag", "id").distinct().join(groups.hint("merge"), "id")
     best = named.groupBy("group_id").agg(F.min(F.struct("doc_id", "tag", "times")).alias("best"))
     best = materialise(best.select(F.col("best.doc_id").alias("doc_id"), F.col("best.tag").alias("own"), F.col("best.times").alias("times")), "best")
-    kept = rows.join(best, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("tag") == F.col("own")))
+    kept = rows.join(best.hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("tag") == F.col("own")))
     once = kept.filter("times = 1").select("row", "tag")
     again = kept.filter("times > 1").withColumn("key", F.xxhash64("row.doc_id", "tag")).dropDuplicates(["key"]).select("row", "tag")
     return once.union(again).select("row.*")

@@ -142,3 +142,21 @@ def test_counters_reach_the_driver_as_arrow(spark, odd, monkeypatch):
     monkeypatch.setattr(type(docs), "toPandas", refused)
     assert simhash.similar_groups(docs).count() == docs.count()
     assert line_dedup.by_document(odd).count() == odd.count()
+
+
+def test_nothing_that_grows_is_broadcast(spark, odd, monkeypatch):
+    """A small estimate before an explode sent all cells through the driver."""
+    plans = []
+
+    def watched(df, name, write=simhash.materialise):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    from pricecast.llm import graph
+
+    monkeypatch.setattr(simhash, "materialise", watched)
+    monkeypatch.setattr(graph, "materialise", watched)
+    out = simhash.near_duplicates(odd)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert out.count() == odd.count()
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastExchange" in p for p in plans)
