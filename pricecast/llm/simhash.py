@@ -311,14 +311,29 @@ def similar_groups(keys: DataFrame, width: int = 5, similarity: float = 0.8, bit
     return known.join(table.hint("merge"), "key").select("id", "group_id")
 
 
+def near_copies(keys: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """id, group_id of every row of (id, text): groups by links of :func:`near_duplicates` and of :func:`similar_groups`.
+
+    Both name a group by its least id, so a row joins the two names and only differing names are edges.
+    """
+    close = near_duplicates(keys, "id", "text").select(F.col("doc_id").alias("id"), "component_id").distinct()
+    alike = materialise(similar_groups(keys, width, similarity), "alike")
+    both = materialise(alike.join(close.hint("merge"), "id"), "alike")
+    roots = components(both.select(F.col("component_id").alias("a"), F.col("group_id").alias("b")))
+    named = both.join(roots.withColumnRenamed("id", "group_id").hint("merge"), "group_id", "left")
+    return named.select("id", F.coalesce("root", "group_id").alias("group_id"))
+
+
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs with one row of every group of similar texts: the one of least doc_id (none first), then of least text hash.
+    """docs with one row of every group of near copies: the one of least doc_id (none first), then of least text hash.
 
-    Of rows equal in id and text one stays too.
+    Texts are near copies by :func:`near_duplicates`, the SimHash of all their three-word shingles, and by
+    :func:`similar_groups`, the likeness of their sets of ``width``-word shingles; a group is what links of either kind
+    reach. Of rows equal in id and text one stays too.
     """
     rows = docs.select(F.struct(*docs.columns).alias("row")).withColumn("tag", F.xxhash64("row.text"))
     keys = rows.select(F.col("row.doc_id").alias("doc_id"), "tag", F.xxhash64("row.doc_id", "tag").alias("id"), F.col("row.text").alias("text"))
-    groups = similar_groups(keys.select("id", "text"), width, similarity).groupBy("id").agg(F.min("group_id").alias("group_id"), F.count("*").alias("times"))
+    groups = near_copies(keys.select("id", "text"), width, similarity).groupBy("id").agg(F.min("group_id").alias("group_id"), F.count("*").alias("times"))
     named = keys.select("doc_id", "tag", "id").distinct().join(groups.hint("merge"), "id")
     best = named.groupBy("group_id").agg(F.min(F.struct("doc_id", "tag", "times")).alias("best"))
     best = materialise(best.select(F.col("best.doc_id").alias("doc_id"), F.col("best.tag").alias("own"), F.col("best.times").alias("times")), "best")

@@ -144,6 +144,25 @@ def test_counters_reach_the_driver_as_arrow(spark, odd, monkeypatch):
     assert line_dedup.by_document(odd).count() == odd.count()
 
 
+def test_keep_one_follows_links_of_both_kinds(spark):
+    """Documents that op1 links went on to the next stage where their shingle sets were less alike."""
+    import random
+
+    r = random.Random(6)
+    say = lambda n: " ".join(f"t{r.randrange(10**6)}" for _ in range(n))
+    phrase, ends = say(41), [say(60) for _ in range(2)]  # an odd number of shingles: no bit is a tie
+    texts = [f"{phrase} " * 400 + e for e in ends]  # one fingerprint, unlike sets
+    base = say(200).split()
+    alike = [*base]
+    alike[100:110] = [f"changed{k}" for k in range(10)]  # a likeness of 0.87, more than three bits away
+    texts += [" ".join(base), " ".join(alike), say(90)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    linked = {x.doc_id: x.component_id for x in simhash.near_duplicates(docs).collect()}
+    likeness = {x.id: x.group_id for x in simhash.similar_groups(docs.withColumnRenamed("doc_id", "id")).collect()}
+    assert linked == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4} and likeness == {0: 0, 1: 1, 2: 2, 3: 2, 4: 4}
+    assert sorted(x.doc_id for x in simhash.keep_one(docs).collect()) == [0, 2, 4]
+
+
 def test_nothing_that_grows_is_broadcast(spark, odd, monkeypatch):
     """A small estimate before an explode sent all cells through the driver."""
     plans = []
